@@ -1,6 +1,6 @@
 """Joins.
 
-No join carries a broadcast hint. Spark broadcasts a side only after comparing
+None of these carries a broadcast hint; jobs that count first are in ``sizes``. Spark broadcasts a side only after comparing
 its size (file statistics when planning, shuffle sizes at run time) with
 ``spark.sql.autoBroadcastJoinThreshold``, and shuffles both sides otherwise.
 A hot key on the row side of a shuffled join is split by AQE, which needs both
@@ -44,6 +44,16 @@ def missing_in(
     return df.join(_keys_of(other, other_key or key, key), key, "left_anti")
 
 
+def listed_or(condition: Column, key: str, listed: DataFrame) -> Column:
+    """A condition that also holds for keys in ``listed`` (its first column).
+
+    Checked in one read of the rows: the list becomes an existence join under
+    the OR, which takes over a broadcast hint on the list. ``listed`` should
+    name each key once; fold it with ``distinct`` first if it may not.
+    """
+    return condition | F.col(key).isin(listed)
+
+
 def salted_join(
     df: DataFrame, lookup: DataFrame, key: str, spread: Sequence[str], salts: int = 32
 ) -> DataFrame:

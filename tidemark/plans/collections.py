@@ -23,6 +23,7 @@ from tidemark.functions import (
 )
 from tidemark.functions.rules import PACK_TYPE
 from tidemark.operators.aggregates import corp_report, hot_cold, latest, one_per_key, union_tagged
+from tidemark.operators.joins import listed_or
 from tidemark.operators.merge import upsert
 from tidemark.operators.shape import collected, in_month, month_range
 
@@ -89,12 +90,12 @@ def not_packed(
 ) -> DataFrame:
     """Collections of the months, and those ``late`` names whatever their month.
 
-    With ``late`` (one column of collection keys) both conditions are checked
-    in one read: the list becomes an existence join under the OR.
+    ``late`` has one column of collection keys. Both conditions are checked in
+    one read of the collections.
     """
     wanted = month_range("fcobrado", ym_from, ym_to)
     if late is not None:
-        wanted = wanted | F.col("indice").isin(late)
+        wanted = listed_or(wanted, "indice", late)
     rows = collected(s.cardcollec).where(wanted).withColumn("idcc", F.col("indice"))
     gross = F.col("monto")
     return _placed(rows, s, packed=False).select(
@@ -145,8 +146,11 @@ def last_changes(log: DataFrame, ym: int) -> DataFrame:
     return latest(earlier, ["cardcollec_id"], "fecha", "id").select("cardcollec_id", *DETECT_COLS)
 
 
-def late_changes(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
-    """Last changes the history does not show: the row differs, or is not there."""
+def unseen_changes(changes: DataFrame, history: DataFrame, small: bool = False) -> DataFrame:
+    """Last changes the history does not show: the row differs, or is not there.
+
+    ``small`` sends the changed keys to the history instead of shuffling it.
+    """
     held = history.where(F.col("is_packed") == 1).select(
         F.col("indice").alias("cardcollec_id"),
         F.lit(True).alias("_held"),
@@ -156,12 +160,19 @@ def late_changes(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
         F.col("currency").alias("h_currency"),
         F.col("pay_method").alias("h_pay_method"),
     )
-    new = last_changes(log, ym).withColumn("fcobrado", F.to_date("fcobrado"))
+    if small:
+        wanted = F.broadcast(changes.select("cardcollec_id"))
+        held = held.join(wanted, "cardcollec_id", "left_semi")
+    new = changes.withColumn("fcobrado", F.to_date("fcobrado"))
     differs = changed(F.col, lambda c: F.col("h_" + c), DETECT_COLS)
     joined = new.join(held, "cardcollec_id", "left")
     return joined.where(F.col("_held").isNull() | differs).select(new.columns)
 
 
+def late_changes(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
+    return unseen_changes(last_changes(log, ym), history)
+
+
 def load_rows(s: Sources, log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
     """What the load of month ``ym`` writes: the month, and late changes before it."""
     late = late_changes(log, history, ym).select("cardcollec_id")

@@ -17,19 +17,9 @@ from tidemark.operators.aggregates import one_per_key
 from tidemark.operators.cleanup import delete_keys
 from tidemark.operators.load import append_incremental, refresh_full, repair_missing
 from tidemark.operators.merge import upsert
-from tidemark.session import shared_dir
+from tidemark.operators.sizes import SMALL_ROWS, frozen, hinted
 from tidemark.sources.snapshots import current, partitions, publish
 
-# New rows up to this many are broadcast to the months they change (some 100 MB);
-# above it both sides are shuffled.
-SMALL_ROWS = 500_000
-
-
-def _frozen(rows: DataFrame) -> DataFrame:
-    """The rows as they are now, in reliable storage: every later step sees the same."""
-    shared_dir(rows.sparkSession)
-    return rows.checkpoint()
-
 
 def _months(df: DataFrame, by: str) -> list:
     """Distinct partition values: as many as the calendar has months, not as rows."""
@@ -54,7 +44,7 @@ def sync_by_month(
     even if that leaves it empty.
     """
     spark = rows.sparkSession
-    rows = _frozen(rows if order is None else one_per_key(rows, keys, order))
+    rows = frozen(rows if order is None else one_per_key(rows, keys, order))
     n = rows.count()
     if n == 0:
         return []
@@ -65,8 +55,8 @@ def sync_by_month(
         publish(first, root, by, months)
         return months
     small = n <= SMALL_ROWS
-    listed = rows.select(*keys)
-    hit = table.select(*keys, by).join(F.broadcast(listed) if small else listed, list(keys), "left_semi")
+    listed = hinted(rows.select(*keys), small)
+    hit = table.select(*keys, by).join(listed, list(keys), "left_semi")
     months = _months(hit.select(by).unionByName(rows.select(by)), by)
     old = table.where(F.col(by).isin(*months))
     new = upsert(
@@ -80,7 +70,7 @@ def clean_by_month(
     spark: SparkSession, root: str, bad: DataFrame, key: str, by: str, soft: bool = False
 ) -> list:
     """Delete the keys of ``bad`` (key and month columns); rewrites only their months."""
-    bad = _frozen(bad.select(key, by).distinct())
+    bad = frozen(bad.select(key, by).distinct())
     months = _months(bad, by)
     if months:
         table = current(spark, root, by, months)

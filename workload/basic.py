@@ -290,10 +290,9 @@ def _(t):
           or indice in (select cardcollec_id from colleclog where reg = 'UPDATE')""",
 )
 def _(t):
-    changed = t.colleclog.where("reg = 'UPDATE'").select("cardcollec_id")
-    return t.cardcollec.where(
-        shape.month_range("fcobrado", MONTH) | F.col("indice").isin(changed)
-    )
+    changed = t.colleclog.where("reg = 'UPDATE'").select("cardcollec_id").distinct()
+    this_month = shape.month_range("fcobrado", MONTH)
+    return t.cardcollec.where(joins.listed_or(this_month, "indice", changed))
 
 
 @query(
