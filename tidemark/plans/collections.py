@@ -55,7 +55,7 @@ class Sources(NamedTuple):
 
 
 def _placed(rows: DataFrame, s: Sources, packed: bool) -> DataFrame:
-    """Inner joins to client and developer.
+    """Inner joins to client and developer, which meet first: rows are joined once.
 
     Leaving out (or asking for) the pack type drops rows without a client, as
     the left join of the not-packed branch does once its filter is applied.
@@ -63,7 +63,7 @@ def _placed(rows: DataFrame, s: Sources, packed: bool) -> DataFrame:
     kind = F.col("dppaidin") == PACK_TYPE
     clients = s.clients.where(kind if packed else ~kind)
     clients = clients.select("clientid", "dppaidin", "with_card", F.col("company").alias("iddev"))
-    return rows.join(clients, "clientid").join(s.developers.select("iddev", "idcorp"), "iddev")
+    return rows.join(clients.join(s.developers.select("iddev", "idcorp"), "iddev"), "clientid")
 
 
 def _columns(on: Column, mode: Column, gross: Column, net: Column) -> list[Column]:

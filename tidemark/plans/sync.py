@@ -17,7 +17,7 @@ from tidemark.operators.aggregates import one_per_key
 from tidemark.operators.cleanup import delete_keys
 from tidemark.operators.load import append_incremental, refresh_full, repair_missing
 from tidemark.operators.merge import upsert
-from tidemark.operators.sizes import SMALL_ROWS, frozen, hinted
+from tidemark.operators.sizes import SMALL_ROWS, frozen, hinted, is_small
 from tidemark.sources.snapshots import current, partitions, publish
 
 
@@ -43,21 +43,23 @@ def sync_by_month(
     A row whose date moved is taken out of its old month, which is rewritten
     even if that leaves it empty.
     """
-    spark = rows.sparkSession
-    rows = frozen(rows if order is None else one_per_key(rows, keys, order))
+    table = current(rows.sparkSession, root, by)
+    if order is not None:
+        rows = one_per_key(rows, keys, order)
+    if table is None:
+        # A first load may be the whole history: it is written once, straight.
+        if stamp is not None:
+            rows = rows.withColumn(stamp, F.lit(None).cast("timestamp_ntz"))
+        publish(rows, root, by)
+        return sorted(_months(current(rows.sparkSession, root, by), by))
+    rows = frozen(rows)
     n = rows.count()
     if n == 0:
         return []
-    table = current(spark, root, by)
-    if table is None:
-        first = rows if stamp is None else rows.withColumn(stamp, F.lit(None).cast("timestamp_ntz"))
-        months = _months(rows, by)
-        publish(first, root, by, months)
-        return months
     small = n <= SMALL_ROWS
     listed = hinted(rows.select(*keys), small)
     hit = table.select(*keys, by).join(listed, list(keys), "left_semi")
-    months = _months(hit.select(by).unionByName(rows.select(by)), by)
+    months = sorted(_months(hit.select(by).unionByName(rows.select(by)), by))
     old = table.where(F.col(by).isin(*months))
     new = upsert(
         old, rows, keys, keep=keep, stamp=stamp, stamp_cols=stamp_cols, at=at, small_source=small
@@ -71,10 +73,11 @@ def clean_by_month(
 ) -> list:
     """Delete the keys of ``bad`` (key and month columns); rewrites only their months."""
     bad = frozen(bad.select(key, by).distinct())
-    months = _months(bad, by)
+    months = sorted(_months(bad, by))
     if months:
         table = current(spark, root, by, months)
-        publish(delete_keys(table, bad, key, soft), root, by, months)
+        left = delete_keys(table, hinted(bad, is_small(bad)), key, soft)
+        publish(left, root, by, months)
     return months
 
 

@@ -29,8 +29,6 @@ def local_session(name: str, cpus: int | str = "*", **conf: str) -> SparkSession
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
-        # A local shuffle is a few MB; without this AQE would leave one task.
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     }
     for key, value in {**SETTINGS, **local, **conf}.items():
         builder = builder.config(key, value)
