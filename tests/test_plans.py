@@ -172,8 +172,9 @@ def hot(spark):
     )
 
 
-def test_a_hot_client_is_split(spark, hot):
-    clients = spark.range(5000).select(F.col("id").alias("clientid"), F.lit("c").alias("name"))
+@pytest.fixture
+def eager_to_split(spark):
+    """AQE as on a cluster, with thresholds that fit a small table."""
     with conf(
         spark,
         autoBroadcastJoinThreshold="-1",
@@ -182,30 +183,40 @@ def test_a_hot_client_is_split(spark, hot):
         adaptive__skewJoin__skewedPartitionThresholdInBytes="512k",
         adaptive__skewJoin__skewedPartitionFactor="2",
     ):
-        joined = joins.enrich(hot, clients, "clientid")
-        assert len(joined.collect()) == 120_000
-        assert "skew=true" in plan(joined)
+        yield
 
 
-def test_a_hot_client_is_salted_where_an_aggregate_meets_it(spark, hot, no_auto_broadcast):
-    done = gold.set_first_request(hot)
-    text = plan(done)
-    assert re.search(r"Exchange hashpartitioning\(clientid#\d+L?, _part", text)
+def test_a_hot_client_is_split(spark, hot, eager_to_split):
+    clients = spark.range(5000).select(F.col("id").alias("clientid"), F.lit("c").alias("name"))
+    joined = joins.enrich(hot, clients, "clientid")
+    assert len(joined.collect()) == 120_000
+    assert "skew=true" in plan(joined)
+
+
+def test_a_hot_client_is_split_where_an_aggregate_meets_it(spark, hot, eager_to_split):
     first = {
         r.clientid: r.first
         for r in hot.groupBy("clientid").agg(F.to_date(F.min("fcorreo")).alias("first")).collect()
     }
-    got = done.groupBy("clientid", "inicio_r").count().collect()
-    assert {r.clientid: r.inicio_r for r in got} == first and len(got) == len(first)
-    assert sum(r["count"] for r in got) == 120_000
-    parts = joins.salted_join(hot, hot.select("clientid").distinct(), "clientid", ["indice"])
-    assert parts.count() == 120_000
-
-
-def test_salts_spread_one_key(spark, hot):
-    part = F.pmod(F.xxhash64("indice"), F.lit(32))
-    sizes_ = [r[1] for r in hot.where("clientid = 7").groupBy(part).count().collect()]
-    assert len(sizes_) == 32 and max(sizes_) < 2 * min(sizes_)
+    done = gold.set_first_request(hot)
+    got = done.collect()
+    assert "skew=true" in plan(done)
+    assert len(got) == 120_000
+    assert all(r.inicio_r == first[r.clientid] for r in got)
+    # without the second key the same join is not split
+    plain = hot.join(hot.groupBy("clientid").agg(F.min("fcorreo").alias("f")), "clientid", "left")
+    plain.collect()
+    assert "skew=true" not in plan(plain)
+
+
+@pytest.mark.parametrize("some", [joins.exists_in, joins.missing_in])
+def test_a_hot_key_is_split_in_existence_checks(spark, hot, eager_to_split, some):
+    keys = spark.range(0, 5000, 7).withColumnRenamed("id", "clientid")
+    found = some(hot, keys, "clientid", hot=True)
+    n = len(found.collect())
+    want = hot.where("clientid % 7 = 0" if some is joins.exists_in else "clientid % 7 <> 0").count()
+    assert n == want == some(hot, keys, "clientid").count()
+    assert "skew=true" in plan(found)
 
 
 def test_a_hot_payment_sends_one_row_per_task(spark, hot, no_auto_broadcast):

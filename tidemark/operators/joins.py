@@ -1,11 +1,12 @@
 """Joins.
 
-None of these carries a broadcast hint; jobs that count first are in ``sizes``. Spark broadcasts a side only after comparing
-its size (file statistics when planning, shuffle sizes at run time) with
-``spark.sql.autoBroadcastJoinThreshold``, and shuffles both sides otherwise.
-A hot key on the row side of a shuffled join is split by AQE, which needs both
-inputs to come straight from a shuffle; where an aggregate stands in between,
-``salted_join`` splits the key instead.
+None of these carries a broadcast hint; jobs that count first are in ``sizes``. Spark
+broadcasts a side only after comparing its size (file statistics when planning,
+shuffle sizes at run time) with ``spark.sql.autoBroadcastJoinThreshold``, and
+shuffles both sides otherwise. A hot key on the row side of a shuffled join is
+split by AQE, by the size it turns out to have. AQE needs both inputs to come
+straight from a shuffle, which an aggregated side does not; ``split_join`` sees
+to that.
 """
 
 from __future__ import annotations
@@ -34,14 +35,20 @@ def _keys_of(other: DataFrame, other_key: str, key: str) -> DataFrame:
     return other.select(F.col(other_key).alias(key)).distinct()
 
 
-def exists_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
-    return df.join(_keys_of(other, other_key or key, key), key, "left_semi")
+def exists_in(
+    df: DataFrame, other: DataFrame, key: str, other_key: str | None = None, hot: bool = False
+) -> DataFrame:
+    """Rows whose key the other table holds. ``hot``: one key may hold many rows of ``df``."""
+    keys = _keys_of(other, other_key or key, key)
+    return split_join(df, keys, key, "left_semi") if hot else df.join(keys, key, "left_semi")
 
 
 def missing_in(
-    df: DataFrame, other: DataFrame, key: str, other_key: str | None = None
+    df: DataFrame, other: DataFrame, key: str, other_key: str | None = None, hot: bool = False
 ) -> DataFrame:
-    return df.join(_keys_of(other, other_key or key, key), key, "left_anti")
+    """Rows whose key the other table lacks."""
+    keys = _keys_of(other, other_key or key, key)
+    return split_join(df, keys, key, "left_anti") if hot else df.join(keys, key, "left_anti")
 
 
 def listed_or(condition: Column, key: str, listed: DataFrame) -> Column:
@@ -54,16 +61,15 @@ def listed_or(condition: Column, key: str, listed: DataFrame) -> Column:
     return condition | F.col(key).isin(listed)
 
 
-def salted_join(
-    df: DataFrame, lookup: DataFrame, key: str, spread: Sequence[str], salts: int = 32
-) -> DataFrame:
-    """Left join to a lookup with one row per key, with hot keys split.
+def split_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join to a lookup aggregated by ``key``, where few keys may hold most rows of ``df``.
 
-    Each key of ``df`` is cut into ``salts`` parts by a hash of the ``spread``
-    columns (a row's own key, so a task that runs again cuts alike), and the
-    lookup is repeated once per part.
+    The aggregate leaves the lookup partitioned by ``key``, so a join on that
+    key alone would use it as it is, and AQE could not split the rows. A second
+    key, derived from the first, changes no match but makes both sides shuffle
+    for this join. That moves the lookup once more, and rows of a hot key are
+    then spread over as many tasks as their size asks for.
     """
-    parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    left = df.withColumn("_part", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_part", parts)
-    return left.join(right, [key, "_part"], "left").drop("_part")
+    part = F.pmod(F.xxhash64(key), F.lit(1024))
+    left, right = df.withColumn("_part", part), lookup.withColumn("_part", part)
+    return left.join(right, [key, "_part"], how).drop("_part")

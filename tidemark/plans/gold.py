@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import as_ntz
 from tidemark.operators.aggregates import one_per_key
-from tidemark.operators.joins import exists_in, salted_join
+from tidemark.operators.joins import exists_in, split_join
 from tidemark.operators.merge import upsert
 from tidemark.operators.shape import update_column
 
@@ -79,6 +79,6 @@ def expire_contracts(active: DataFrame, redeems: DataFrame, asof: date) -> DataF
 def set_first_request(redeems: DataFrame, column: str = "inicio_r") -> DataFrame:
     """Write each client's first request date into all requests of that client."""
     first = redeems.groupBy("clientid").agg(F.to_date(F.min("fcorreo")).alias("_first"))
-    joined = salted_join(redeems, first, "clientid", ["indice"])
+    joined = split_join(redeems, first, "clientid")
     done = update_column(joined, column, F.col("_first"), F.col("_first").isNotNull())
     return done.select(redeems.columns)
