@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.operators.cleanup import delete_keys, suspect_requests
 from tidemark.operators.load import missing_keys
 from tidemark.operators.merge import pending_row
 from tidemark.operators.shape import authorized, paid, requested
@@ -267,3 +268,41 @@ def test_late_changes_reach_closed_months(spark, root):
         (9, 202401, Decimal("900.000000"), None),
     ]
     assert daily.load_collections(root, s, log, later, 202403) == []
+
+
+def test_months_only_the_target_has(spark):
+    redeems = spark.createDataFrame(
+        [(1, 1, datetime(2020, 1, 5), 1), (2, 1, datetime(2020, 1, 9), 1)],
+        "indice long, clientid long, fcorreo timestamp_ntz, status_r int",
+    )
+    target = spark.createDataFrame(
+        [(1, date(2020, 1, 5), 2020, 1), (7, date(2020, 3, 1), 2020, 3), (8, date(2022, 1, 1), 2022, 1)],
+        "contador long, fecha date, anio int, mes int",
+    )
+    asof = date(2021, 1, 1)
+    left = recon.recon_requested(redeems, target, asof)
+    full = recon.recon_requested(redeems, target, asof, how="full")
+    january = (2020, 1, "Enero", 2, 1, 1)
+    assert rows(left) == [january]
+    assert rows(full) == [january, (2020, 3, "Marzo", 0, 1, -1)]
+    # a client listed twice counts twice in a left join
+    clients = spark.createDataFrame([(1,), (1,)], "clientid long")
+    doubled = recon.recon_requested(redeems, target, asof, clients=clients)
+    assert rows(doubled, "cant_origen") == [(4,)]
+
+
+def test_soft_delete_sets_the_flag(spark):
+    target = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "contador long, eliminado int")
+    bad = spark.createDataFrame([(2,), (2,)], "contador long")
+    assert rows(delete_keys(target, bad, "contador")) == [(1, 0), (3, 1)]
+    assert rows(delete_keys(target, bad, "contador", soft=True)) == [(1, 0), (2, 1), (3, 1)]
+
+
+def test_the_current_year_is_not_looked_at(spark):
+    target = spark.createDataFrame(
+        [(1, date(2023, 12, 31)), (2, date(2024, 1, 1)), (3, None)], "contador long, fecha date"
+    )
+    redeems = spark.createDataFrame(
+        [(k, None, None) for k in (1, 2, 3)], "indice long, status_r int, fcorreo timestamp_ntz"
+    )
+    assert rows(suspect_requests(target, redeems, date(2024, 6, 1))) == [(1, True)]
