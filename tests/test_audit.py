@@ -93,3 +93,18 @@ def test_run_log(spark, tmp_path):
     loaded = spark.createDataFrame([(k, start) for k in range(120)], "clientid long, createdat timestamp_ntz")
     found = runlog.load_metrics(loaded, log, "clientid").first()
     assert (found.filas, found.min_id, found.max_id, found.segundos, found.filas_seg) == (120, 0, 119, 60, 2.0)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_seconds_do_not_follow_clock_changes(spark, zone):
+    data = [
+        (datetime(2024, 3, 10, 1, 30), datetime(2024, 3, 10, 3, 30, 5)),
+        (datetime(2024, 3, 9, 23, 59, 59), datetime(2024, 3, 11)),
+    ]
+    df = spark.createDataFrame(data, "fecha_inicio timestamp_ntz, fecha_fin timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert [r[0] for r in df.select(runlog._seconds()).collect()] == [7205, 86401]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import previous_period, year_month
+from tidemark.functions import as_ntz, previous_period, year_month
 from tidemark.operators.cleanup import suspect_payments, suspect_requests
 from tidemark.operators.merge import pending_row
 from tidemark.operators.shape import authorized, paid, requested
@@ -120,7 +120,7 @@ def load_collections(
     rows = coll.collections(sources, ym, ym_to, late)
     return sync_by_month(
         root,
-        rows.withColumns({MONTH: year_month("pay_date"), "insertat": F.lit(str(at)).cast("timestamp_ntz")}),
+        rows.withColumns({MONTH: year_month("pay_date"), "insertat": as_ntz(at)}),
         coll.HISTORY_KEY,
         MONTH,
         keep=("insertat",),

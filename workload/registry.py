@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workload.standins import Tables, with_standins
+from workload.standins import Tables, tables, with_standins
 
 # Output types both engines agree on: name, name:i (integer), name:d (double), name:s (text).
 _TYPES = {"i": ("bigint", "bigint"), "d": ("double", "double"), "s": ("string", "varchar")}
@@ -26,7 +26,7 @@ def query(name: str, cols: str, sql: str | None):
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            out = fn(Tables(spark, folder))
+            out = fn(tables(spark, folder))
             return out.select(
                 *[F.col(c).cast(_TYPES[t][0]).alias(c) if t else F.col(c) for c, t in columns]
             )

@@ -9,6 +9,7 @@ reverted at the source after the load.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -233,3 +234,9 @@ class Tables:
         for name in inputs:
             text = re.sub(rf"\b(from|join)\s+{name}\b", rf"\1 {{{name}}}", text)
         return self.spark.sql(text, **{n: getattr(self, n) for n in inputs})
+
+
+@lru_cache(maxsize=8)
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """One set of tables per session and folder: a stand-in is analysed once, not per query."""
+    return Tables(spark, folder)

@@ -682,10 +682,7 @@ CATALOGUE = [
         ),
         (
             "autorizados", "payments", "authorized_target", "contador",
-            """select count(*), max(p.indice) from payments p join redeems r on r.pagoid = p.indice
-               join clients c on c.clientid = r.clientid left join authorized_target t on t.contador = p.indice
-               where not isnull(p.f_authorized)
-                 and (t.contador is null or date(coalesce(p.updateat, '2000-01-01')) > date(coalesce(t.update_at, '2000-01-01')))""",
+            "select count(*), max(indice) from payments where f_authorized is not null",
         ),
         (
             "pagados", "payments", "paid_target", "pagoid",
@@ -728,7 +725,7 @@ _COUNTED = {
         "select count(*) as n, max(contador) as m from requested_target",
     ),
     "autorizados": (
-        f"select count(*) as n, max(indice) as m from ({PENDING['authorized']}) p",
+        "select count(*) as n, max(indice) as m from payments where f_authorized is not null",
         "select count(*) as n, max(contador) as m from authorized_target",
     ),
     "pagados": (
