@@ -71,6 +71,23 @@ def test_appends_and_repair_give_a_full_copy(spark, root):
     assert table.where("createdat is null").count() == 0
 
 
+def test_loads_without_rows(spark, root, tmp_path):
+    source = spark.createDataFrame([], "clientid long, name string")
+    assert sync.append_load(source, root, "clientid", AT, 1).count() == 0
+    some = spark.createDataFrame([(5, "a")], "clientid long, name string")
+    assert rows(sync.append_load(some, root, "clientid", AT, 2), "clientid", "load") == [(5, 2)]
+    assert sync.append_load(some, root, "clientid", AT, 3).count() == 0
+    assert current(spark, root, "load").count() == 1
+    facts_ = str(tmp_path / "facts")
+    none = spark.createDataFrame([], "k long, ym int")
+    assert sync.sync_by_month(facts_, none, ["k"], "ym") == []
+    assert sync.sync_by_month(facts_, none, ["k"], "ym") == []
+    one = spark.createDataFrame([(1, 7)], "k long, ym int")
+    assert sync.sync_by_month(facts_, one, ["k"], "ym") == [7]
+    assert sync.sync_by_month(facts_, none, ["k"], "ym") == []
+    assert rows(current(spark, facts_, "ym")) == [(1, 7)]
+
+
 def test_a_row_that_moves_empties_its_month(spark, root):
     schema = "k long, v string, ym int"
     sync.sync_by_month(root, spark.createDataFrame([(1, "a", 1), (2, "b", 2)], schema), ["k"], "ym")

@@ -118,6 +118,8 @@ def upsert(
     already unique. ``small_source`` broadcasts the source: set it only after
     its size has been checked, as ``tidemark.plans.sync`` does.
     """
+    if stamp is not None and at is None:
+        raise ValueError(f"{stamp} needs the time to set")
     if order is not None:
         source = one_per_key(source, keys, order)
     joined = _sides(target, source, keys, small_source)

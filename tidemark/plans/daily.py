@@ -141,6 +141,9 @@ def clean_facts(
     done = {}
     for name, key in (("requested", "contador"), ("authorized", "contador"), ("paid", "pagoid")):
         table = current(spark, roots[name], MONTH)
+        if table is None:
+            done[name] = []
+            continue
         if name == "requested":
             bad = suspect_requests(table, redeems, asof, key, also=[MONTH]).where("reverted")
         else:

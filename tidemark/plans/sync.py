@@ -51,7 +51,8 @@ def sync_by_month(
         if stamp is not None:
             rows = rows.withColumn(stamp, F.lit(None).cast("timestamp_ntz"))
         publish(rows, root, by)
-        return sorted(_months(current(rows.sparkSession, root, by), by))
+        table = current(rows.sparkSession, root, by)
+        return [] if table is None else sorted(_months(table, by))
     rows = frozen(rows)
     n = rows.count()
     if n == 0:
@@ -91,11 +92,11 @@ def append_load(
     """
     spark = source.sparkSession
     table = current(spark, root, "load")
+    target = source.limit(0) if table is None else table
+    new = append_incremental(source, target, key, at).withColumn("load", F.lit(load))
     if f"load={load}" not in partitions(spark, root, "load"):
-        target = source.limit(0) if table is None else table
-        new = append_incremental(source, target, key, at)
-        publish(new.withColumn("load", F.lit(load)), root, "load", [load])
-    return current(spark, root, "load", [load])
+        publish(new, root, "load", [load])
+    return current(spark, root, "load", [load], new.schema)
 
 
 def repair_load(source: DataFrame, root: str, key: str, at: datetime | str, load: int) -> None:
