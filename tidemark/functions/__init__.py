@@ -7,6 +7,7 @@ from tidemark.functions.dates import (
     month_bounds,
     month_name,
     month_start,
+    name_of_month,
     previous_month,
     previous_period,
     year_month,
@@ -24,6 +25,7 @@ __all__ = [
     "month_bounds",
     "month_name",
     "month_start",
+    "name_of_month",
     "net_amount",
     "null_default",
     "pack_flag",

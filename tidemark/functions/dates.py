@@ -38,8 +38,13 @@ def year_month(d: Column | str) -> Column:
     return F.year(_col(d)) * 100 + F.month(_col(d))
 
 
+def name_of_month(n: Column | str) -> Column:
+    """The name of month number 1-12."""
+    return F.elt(_col(n), *[F.lit(name) for name in MONTH_NAMES])
+
+
 def month_name(d: Column | str) -> Column:
-    return F.elt(F.month(_col(d)), *[F.lit(n) for n in MONTH_NAMES])
+    return name_of_month(F.month(_col(d)))
 
 
 def date_parts(d: Column | str) -> list[Column]:

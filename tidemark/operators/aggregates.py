@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import month_name, month_start, year_month
+from tidemark.functions import month_start, name_of_month, year_month
 
 
 def max_key(df: DataFrame, key: str) -> DataFrame:
@@ -26,11 +26,14 @@ def count_max(df: DataFrame, key: str) -> DataFrame:
 
 
 def month_count(df: DataFrame, on: Column, weight: Column | None = None) -> DataFrame:
-    """Rows by year and month, or the sum of ``weight`` where a row stands for several."""
+    """Rows by year and month, or the sum of ``weight`` where a row stands for several.
+
+    Grouped by the two numbers alone; the name is added to the months, not to the rows.
+    """
     rows = F.count("*") if weight is None else F.sum(weight)
-    return df.groupBy(
-        F.year(on).alias("anio"), F.month(on).alias("mes"), month_name(on).alias("nommes")
-    ).agg(rows.alias("cant"))
+    months = df.groupBy(F.year(on).alias("anio"), F.month(on).alias("mes"))
+    counted = months.agg(rows.alias("cant"))
+    return counted.select("anio", "mes", name_of_month("mes").alias("nommes"), "cant")
 
 
 def month_amount(df: DataFrame, on: str, amount: str) -> DataFrame:

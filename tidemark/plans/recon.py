@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import MONTH_NAMES
+from tidemark.functions import name_of_month
 from tidemark.operators.aggregates import filled_counts, month_count
 from tidemark.operators.cleanup import suspect_payments, suspect_requests
 from tidemark.operators.shape import authorized, before, paid, paid_date, requested
@@ -26,13 +26,12 @@ def month_diff(source: DataFrame, target: DataFrame, asof: date, how: str = "lef
         .agg(F.count("*").alias("cant_destino"))
     )
     both = source.withColumnRenamed("cant", "cant_origen").join(held, ["anio", "mes"], how)
-    name = F.coalesce("nommes", F.elt(F.col("mes"), *[F.lit(n) for n in MONTH_NAMES]))
     origin = F.coalesce("cant_origen", F.lit(0))
     dest = F.coalesce("cant_destino", F.lit(0))
     return both.select(
         "anio",
         "mes",
-        name.alias("nommes"),
+        name_of_month("mes").alias("nommes"),
         origin.alias("cant_origen"),
         dest.alias("cant_destino"),
         (origin - dest).alias("diferencia"),
