@@ -4,32 +4,85 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, packing
+from tidemark.llm import exact, packing, quality_rules, rollup, shards
+from tidemark.session import new_folder
 
-WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.report(_documents(spark, folder))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.decisions(_documents(spark, folder))
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as one batch of inserts, delivered twice, and the totals after that."""
+    table = new_folder(spark, "token-counts")
+    for _ in range(2):  # the second delivery finds the batch committed
+        rollup.commit(table, "all", rollup.changes(rollup.counts(_documents(spark, folder), rollup.production_versions())))
+    return rollup.totals(spark, table)
+
+
+def op9_training_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.write_shards(_documents(spark, folder), new_folder(spark, "shards"))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(_documents(spark, folder))
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_token_counts": op8_token_counts,
+    "op9_training_shards": op9_training_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 _LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
+# documents with their words; windows of 8 words that a text holds twice or more
+_RULES = r"""
+    with d as (
+        select doc_id, coalesce(text, '') as t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+        from documents),
+    win as (
+        select doc_id, i, array_to_string(w[i : i + 7], ' ') as s
+        from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from d)),
+    twice as (
+        select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, s) as n from win)
+        where n > 1),
+    repeats as (
+        select doc_id, count(distinct p) as n
+        from (select doc_id, unnest(range(i, i + 8)) as p from twice) group by 1),
+    l as (
+        select doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+        from d),
+    m as (
+        select d.doc_id, len(w) as n_words,
+            coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+            len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols,
+            len(l) - len(list_distinct(l)) as n_dup_lines,
+            coalesce(r.n, 0) as n_repeat_words, len(l) as n_lines,
+            len(regexp_extract_all(t, '[A-Z]')) as upper, len(regexp_extract_all(t, '[A-Za-z]')) as letters
+        from d join l using (doc_id) left join repeats r using (doc_id)),
+    b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        not (base_failed or 10 * n_symbols > n_words or word_chars < 2 * n_words
+            or word_chars > 12 * n_words or 10 * n_dup_lines > 3 * n_lines
+            or 100 * upper // greatest(letters, 1) > 50) as kept
+    from b
+"""
 ORACLES = {
+    "op1_quality_rules": _RULES,
     "op4_exact_dedup": f"""
         select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
             row_number() over (partition by t order by doc_id desc) = 1 as kept,
