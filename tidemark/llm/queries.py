@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact, packing, quality_rules, rollup, shards
+from tidemark.llm import exact, packing, quality_rules, rollup, shards, substring
 from tidemark.session import new_folder
 
 
@@ -17,6 +18,11 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.report(_documents(spark, folder))
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = substring.remove_repeats(_documents(spark, folder).select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.decisions(_documents(spark, folder))
 
@@ -39,6 +45,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_training_shards": op9_training_shards,
@@ -81,7 +88,27 @@ _RULES = r"""
             or 100 * upper // greatest(letters, 1) > 50) as kept
     from b
 """
+_REPEATS = r"""
+    with d as (
+        select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+    win as (
+        select doc_id, i, array_to_string(w[i : i + 12], ' ') as s
+        from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d)),
+    hit as (
+        select doc_id, i from (select doc_id, i, min(doc_id) over (partition by s) as m from win)
+        where doc_id > m),
+    gone as (select distinct doc_id, unnest(range(i, i + 13)) as p from hit),
+    left_over as (
+        select doc_id, string_agg(x, ' ' order by p) as t
+        from (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as p from d)
+            anti join gone using (doc_id, p)
+        group by 1),
+    n as (select doc_id, count(*) as n from gone group by 1)
+    select doc_id, len(w) as n_words, coalesce(n.n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+    from d left join n using (doc_id) left join left_over using (doc_id)
+"""
 ORACLES = {
+    "op2_substring_dedup": _REPEATS,
     "op1_quality_rules": _RULES,
     "op4_exact_dedup": f"""
         select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
