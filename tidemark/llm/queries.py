@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, packing, quality_rules, rollup, shards, substring
+from tidemark.llm import exact, minhash, packing, quality_rules, rollup, shards, substring
 from tidemark.session import new_folder
 
 
@@ -27,6 +27,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.decisions(_documents(spark, folder))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.report(_documents(spark, folder), percent=85).drop("key")
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as one batch of inserts, delivered twice, and the totals after that."""
     table = new_folder(spark, "token-counts")
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_training_shards": op9_training_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -116,4 +121,24 @@ ORACLES = {
             sha256(t) as text_sha256
         from (select doc_id, {_LOWER} as t from documents) window g as (partition by t)
     """,
+    "op5_minhash_near_dedup": rf"""
+    with recursive d as (
+        select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+    sh as (
+        select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from d where len(w) > 0)),
+    n as (select doc_id, count(*) as n from sh group by 1),
+    shared as (
+        select a.doc_id as a, b.doc_id as b, count(*) as k
+        from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+    links as (
+        select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b
+        where 100 * k >= 85 * (x.n + y.n - k)),
+    edges as (select a, b from links union all select b, a from links),
+    reach as (
+        select doc_id as a, doc_id as b from d union select r.a, e.b from reach r join edges e on r.b = e.a),
+    c as (select a as doc_id, min(b) as component_id from reach group by 1)
+    select doc_id, coalesce(n.n, 0) as n_shingles, component_id, doc_id = component_id as kept
+    from c left join n using (doc_id)
+    """,
 }
