@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, minhash, packing, quality_rules, rollup, shards, substring
+from tidemark.llm import exact, minhash, mixing, packing, quality_rules, rollup, shards, substring
 from tidemark.session import new_folder
 
 
@@ -23,6 +23,10 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(_documents(spark, folder))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.decisions(_documents(spark, folder))
 
@@ -50,6 +54,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_source_mixing": op3_source_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_token_counts": op8_token_counts,
