@@ -9,22 +9,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.llm import exact, packing  # noqa: E402
+from tidemark.llm import cotraining, exact, minhash, mixing, packing  # noqa: E402
 from tidemark.session import new_folder  # noqa: E402
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that are likely good and not toxic stay."""
+    return cotraining.accepted(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of equal texts one document stays."""
     return exact.deduplicate(docs)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more one stays."""
+    return minhash.deduplicate(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Each document as often, or in the part, as the mix takes it."""
+    return mixing.mixed_documents(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All pieces of the documents, packed into sequences."""
     return packing.best_fit(docs)
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("exact_dedup", exact_dedup),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("source_mixing", source_mixing),
     ("best_fit_packing", best_fit_packing),
 ]
 ORACLE_SQL = None  # SQL trains no classifier and runs no tokenizer
