@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cotraining, exact, minhash, mixing, packing, quality_rules, rollup, shards, substring
+from tidemark.llm import cotraining, exact, minhash, mixing, packing, pitman_yor, quality_rules, rollup, shards, substring
 from tidemark.session import new_folder
 
 
@@ -35,6 +35,10 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.report(_documents(spark, folder), percent=85).drop("key")
 
 
+def op6_pitman_yor_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.score(_documents(spark, folder))
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder).select("doc_id", "text", "source", "lang")
     found = cotraining.classify(docs, spark.read.parquet(f"{folder}/labels.parquet"))
@@ -63,6 +67,7 @@ QUERIES = {
     "op3_source_mixing": op3_source_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_pitman_yor_scores": op6_pitman_yor_scores,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op9_training_shards": op9_training_shards,
