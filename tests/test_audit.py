@@ -2,6 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.plans import audit, runlog
@@ -58,7 +59,7 @@ def test_outcomes(spark, views, isolate):
 
 
 def test_a_task_that_breaks_while_running_does_not_stop_others(spark, views):
-    got = audit.audit(spark, [*TASKS, FAILS], isolate=True)
+    got = audit.audit(spark, [*TASKS, FAILS])
     assert outcome(got) == {**WANT, "breaks": (None, "ERROR")}
 
 
@@ -90,9 +91,13 @@ def test_run_log(spark, tmp_path):
     assert (got.corridas, got.errores, got.ultimo_estado, got.filas) == (3, 1, "RUNNING", 30)
     assert got.segundos_prom == 30.0
     assert [r.id for r in runlog.last_result(log, "job", 2).collect()] == [2, 1]
-    loaded = spark.createDataFrame([(k, start) for k in range(120)], "clientid long, createdat timestamp_ntz")
-    found = runlog.load_metrics(loaded, log, "clientid").first()
-    assert (found.filas, found.min_id, found.max_id, found.segundos, found.filas_seg) == (120, 0, 119, 60, 2.0)
+    loaded = spark.createDataFrame([(k, 0 if k < 120 else 77) for k in range(130)], "clientid long, run_id long")
+    # two runs that started together, and a load whose run left no log row
+    twin = log.where("id = 0").withColumns({"id": F.lit(5), "paquete": F.lit("twin")})
+    found = {r.run_id: r for r in runlog.load_metrics(loaded, log.unionByName(twin), "clientid").collect()}
+    one = found[0]
+    assert (one.paquete, one.filas, one.min_id, one.max_id, one.segundos, one.filas_seg) == ("job", 120, 0, 119, 60, 2.0)
+    assert (found[77].paquete, found[77].filas, found[77].segundos) == (None, 10, None) and len(found) == 2
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

@@ -119,7 +119,9 @@ def test_top_rows_are_not_sorted_whole(spark, tables):
 def test_broadcast_only_up_to_the_bound(spark, stored, no_auto_broadcast):
     table = spark.read.parquet(stored)
     keys = table.where("clientid < 10").select("clientid")
-    few, many = sizes.measured(keys, bound=10), sizes.measured(keys, bound=9)
+    width = sizes.row_bytes(keys)
+    few, many = sizes.measured(keys, 10 * width), sizes.measured(keys, 10 * width - 1)
+    assert sizes.threshold(spark) == -1 and not sizes.is_small(keys)
     assert "BroadcastHashJoin" in plan(table.join(few, "clientid", "left_semi"))
     assert "SortMergeJoin" in plan(table.join(many, "clientid", "left_semi"))
     found = table.where(joins.listed_or(F.col("clientid") > 3990, "clientid", few))

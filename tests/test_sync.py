@@ -1,5 +1,6 @@
 """Stored tables: what a load leaves behind, also when it fails or runs twice."""
 
+import json
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -15,6 +16,7 @@ from tidemark.operators.shape import authorized, paid, requested
 from tidemark.plans import collections as coll
 from tidemark.plans import daily, recon, sync
 from tidemark.plans.facts import request_counts
+from tidemark.sources import snapshots
 from tidemark.sources.snapshots import current, publish
 
 AT = datetime(2001, 7, 20, 5, 30)
@@ -60,12 +62,16 @@ def test_appends_and_repair_give_a_full_copy(spark, root):
     first = source.where("clientid < 60 and clientid % 7 <> 0")
     sync.append_load(first, root, "clientid", AT, 1)
     assert sync.append_load(source, root, "clientid", AT, 2).count() == 40
-    sync.append_load(source, root, "clientid", AT, 2)
+    with pytest.raises(ValueError, match="load 2 is there"):
+        sync.append_load(source, root, "clientid", AT, 2)
     table = current(spark, root, "load")
     assert table.count() == table.select("clientid").distinct().count()
     # 0 is not above the watermark of an empty table, so it was never loaded either
     assert rows(missing_keys(source, table, "clientid")) == [(k,) for k in (0, 14, 21, 28, 35, 42, 49, 56, 7)]
-    sync.repair_load(source, root, "clientid", AT, 3)
+    with pytest.raises(ValueError, match="load 1 is there"):
+        sync.repair_load(source, root, "clientid", AT, 1)
+    assert current(spark, root, "load").count() == table.count()
+    assert sync.repair_load(source, root, "clientid", AT).first()["load"] == 3
     table = current(spark, root, "load")
     assert rows(table, "clientid") == rows(source, "clientid")
     assert table.where("createdat is null").count() == 0
@@ -88,6 +94,112 @@ def test_loads_without_rows(spark, root, tmp_path):
     assert rows(current(spark, facts_, "ym")) == [(1, 7)]
 
 
+def test_a_repair_before_any_load(spark, root):
+    source = spark.createDataFrame([(5, "a")], "clientid long, name string")
+    assert sync.repair_load(source, root, "clientid", AT).count() == 0
+    assert rows(sync.append_load(source, root, "clientid", AT), "clientid", "load") == [(5, 2)]
+
+
+def test_the_watermark_comes_from_the_commits(spark, root, monkeypatch):
+    source = spark.createDataFrame([(5, "a"), (9, "b")], "clientid long, name string")
+    sync.append_load(source, root, "clientid", AT)
+    assert snapshots.state(spark, root).parts["load=1"].mark == 9
+    monkeypatch.setattr(sync, "max_key", lambda df, key: good(df.where("name = 'c'"), key))
+    good = __import__("tidemark.operators.aggregates", fromlist=["max_key"]).max_key
+    more = source.unionByName(spark.createDataFrame([(12, "c")], source.schema))
+    assert rows(sync.append_load(more, root, "clientid", AT), "clientid") == [(12,)]
+
+
+def test_products_are_appended_above_their_own_marks(spark, root):
+    schema = "clientid long, product string"
+    first = spark.createDataFrame([(5, "x"), (9, "y")], schema)
+    assert sync.append_product_load(first, root, "clientid", AT, ["x", "y", "z"]).count() == 2
+    more = first.unionByName(spark.createDataFrame([(6, "x"), (8, "y"), (1, "z"), (7, "w")], schema))
+    added = sync.append_product_load(more, root, "clientid", AT, ["x", "y", "z"])
+    assert rows(added, "clientid", "product") == [(1, "z"), (6, "x")]
+    assert sync.append_product_load(more, root, "clientid", AT, ["x", "y", "z"]).count() == 0
+
+
+def test_a_new_column_is_an_error(spark, root):
+    sync.sync_by_month(root, spark.createDataFrame([(1, 7)], "k long, ym int"), ["k"], "ym")
+    with pytest.raises(ValueError, match="extra"):
+        sync.sync_by_month(root, spark.createDataFrame([(1, 7, 2)], "k long, ym int, extra int"), ["k"], "ym")
+    assert rows(current(spark, root, "ym")) == [(1, 7)]
+
+
+def _between(monkeypatch, act):
+    """Run ``act`` after a sync has read its table and before it writes."""
+    good = sync.upsert
+
+    def late(*args, **kwargs):
+        monkeypatch.setattr(sync, "upsert", good)
+        act()
+        return good(*args, **kwargs)
+
+    monkeypatch.setattr(sync, "upsert", late)
+
+
+def test_overlapping_syncs_lose_nothing(spark, root, monkeypatch):
+    schema = "k long, v string, ym int"
+    make = lambda *r: spark.createDataFrame(list(r), schema)
+    sync.sync_by_month(root, make((1, "a", 1), (2, "b", 2)), ["k"], "ym")
+    _between(monkeypatch, lambda: sync.sync_by_month(root, make((3, "c", 1)), ["k"], "ym"))
+    with pytest.raises(snapshots.StaleTable, match="ym=1"):
+        sync.sync_by_month(root, make((4, "d", 1)), ["k"], "ym")
+    assert rows(current(spark, root, "ym"), "k") == [(1,), (2,), (3,)]
+    sync.sync_by_month(root, make((4, "d", 1)), ["k"], "ym")
+    # runs on different months do not disturb each other, whoever commits first
+    _between(monkeypatch, lambda: sync.sync_by_month(root, make((5, "e", 2)), ["k"], "ym"))
+    sync.sync_by_month(root, make((6, "f", 1)), ["k"], "ym")
+    assert rows(current(spark, root, "ym"), "k") == [(k,) for k in range(1, 7)]
+
+
+def test_commits_at_the_same_time_are_merged(spark, root):
+    make = lambda k, ym: spark.createDataFrame([(k, ym)], "k long, ym int")
+    publish(make(1, 1), root, "ym")
+    publish(make(2, 2), root, "ym", [2])
+    publish(make(3, 3), root, "ym", [3])
+    folder = snapshots._Folder(spark, root)
+    # the third commit as if it had not seen the second
+    text = json.loads(folder.read(f"{root}/snapshot=3/{snapshots.MANIFEST}"))
+    del text["parts"]["ym=2"]
+    folder.write(f"{root}/snapshot=3/{snapshots.MANIFEST}", json.dumps(text | {"after": 1}))
+    assert rows(current(spark, root, "ym"), "k") == [(1,), (2,), (3,)]
+
+
+def test_reading_looks_at_few_folders(spark, root, monkeypatch):
+    schema = "k long, ym int"
+    for k in range(3):
+        publish(spark.createDataFrame([(k, k)], schema), root, "ym", [k])
+    folder = snapshots._Folder(spark, root)
+    parts = snapshots.state(spark, root).parts
+    for n in range(4, 1004):  # a thousand commits of one month
+        parts["ym=1"] = parts["ym=1"]._replace(commit=n)
+        text = {"after": n - 1, "own": ["ym=1"], "parts": parts}
+        folder.mkdirs(f"{root}/snapshot={n}")
+        folder.write(f"{root}/snapshot={n}/{snapshots.MANIFEST}", json.dumps(text))
+        folder.create(f"{root}/snapshot={n}/{snapshots.MARKER}")
+    calls = []
+    for name in ("names", "exists", "read"):
+        good = getattr(snapshots._Folder, name)
+        monkeypatch.setattr(snapshots._Folder, name, lambda self, p, f=good: calls.append(p) or f(self, p))
+    assert rows(current(spark, root, "ym"), "k") == [(0,), (1,), (2,)]
+    assert len(calls) == 3
+
+
+def test_expiry_keeps_what_holds_a_partition(spark, root):
+    make = lambda k, ym: spark.createDataFrame([(k, ym)], "k long, ym int")
+    publish(make(1, 1).unionByName(make(2, 2)), root, "ym")
+    for k in range(3, 9):
+        publish(make(k, 1), root, "ym", [1])
+    assert snapshots.expire(spark, root, keep=2, older_than=3600) == []
+    gone = snapshots.expire(spark, root, keep=2)
+    assert f"{root}/snapshot=1/ym=1" in gone and f"{root}/snapshot=1" not in gone
+    assert rows(current(spark, root, "ym"), "k", "ym") == [(2, 2), (8, 1)]
+    assert sorted(int(n.partition("=")[2]) for n in snapshots._Folder(spark, root).names(root)) == [1, 6, 7]
+    assert snapshots.expire(spark, root, keep=2) == []
+
+
 def test_a_row_that_moves_empties_its_month(spark, root):
     schema = "k long, v string, ym int"
     sync.sync_by_month(root, spark.createDataFrame([(1, "a", 1), (2, "b", 2)], schema), ["k"], "ym")
@@ -114,9 +226,9 @@ def test_a_failed_sync_keeps_all_months(spark, root, monkeypatch):
     assert rows(current(spark, root, "ym"), "k", "v", "ym") == [(1, "a", 1), (2, "b", 2)]
 
 
-@pytest.mark.parametrize("bound", [500_000, 0])
-def test_broadcast_and_shuffle_give_the_same(spark, root, monkeypatch, bound):
-    monkeypatch.setattr(sync, "SMALL_ROWS", bound)
+@pytest.mark.parametrize("small", [True, False])
+def test_broadcast_and_shuffle_give_the_same(spark, root, monkeypatch, small):
+    monkeypatch.setattr(sync, "is_small", lambda rows: small)
     base = spark.range(200).select(
         F.col("id").alias("k"), F.lit("old").alias("v"), (F.col("id") % 5).cast("int").alias("ym")
     )

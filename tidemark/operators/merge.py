@@ -116,8 +116,12 @@ def upsert(
     only where one of ``stamp_cols`` really differs; an insert leaves it null.
     ``order`` reduces a source that may repeat a key; leave it out for a source
     already unique. ``small_source`` broadcasts the source: set it only after
-    its size has been checked, as ``tidemark.plans.sync`` does.
+    its size has been checked, as ``tidemark.plans.sync`` does. A new row with a
+    column that the table lacks is an error, not a loss.
     """
+    unknown = [c for c in source.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the table has no column {', '.join(unknown)}; add it first")
     if stamp is not None and at is None:
         raise ValueError(f"{stamp} needs the time to set")
     if order is not None:

@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import as_ntz, month_bounds, null_default, year_start
+from tidemark.functions import as_ntz, month_bounds, month_start, null_default, year_start
 
 # Statuses of a collection that count as collected.
 COLLECTED_STATUSES = (1, 2, 3, 6, 7, 9, 10, 12)
@@ -76,13 +76,28 @@ def collected(df: DataFrame, on: str = "fcobrado", status: str = "statusc") -> D
     return df.where(F.col(on).isNotNull() & F.col(status).isin(*COLLECTED_STATUSES))
 
 
-def month_range(on: str, ym_from: int, ym_to: int | None = None) -> Column:
-    """``on`` falls in the months, as a half-open range of dates."""
-    start, end = month_bounds(ym_from, ym_to)
-    return (F.col(on) >= F.lit(start)) & (F.col(on) < F.lit(end))
+# As the last month of a range: no end. ``None`` as the first month: no beginning.
+OPEN = "open"
 
 
-def in_month(df: DataFrame, on: str, ym_from: int, ym_to: int | None = None) -> DataFrame:
+def month_range(on: str, ym_from: int | None, ym_to: int | str | None = None) -> Column:
+    """``on`` falls in the months, as a half-open range of dates.
+
+    Without ``ym_to`` the range is the one month ``ym_from``. A missing date is in no range.
+    """
+    if ym_from is None and ym_to is None:
+        raise ValueError("name a month, or leave the end OPEN")
+    inside = F.col(on).isNotNull()
+    if ym_from is not None:
+        inside = F.col(on) >= F.lit(month_start(ym_from))
+    if ym_to != OPEN:
+        inside &= F.col(on) < F.lit(month_bounds(ym_from or ym_to, ym_to)[1])
+    return inside
+
+
+def in_month(
+    df: DataFrame, on: str, ym_from: int | None, ym_to: int | str | None = None
+) -> DataFrame:
     return df.where(month_range(on, ym_from, ym_to))
 
 

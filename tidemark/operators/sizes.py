@@ -1,21 +1,19 @@
-"""Broadcast behind a count.
+"""Broadcast behind a size.
 
 A few changed keys against a large table should be sent to the table, not the
 table shuffled to meet them. Spark cannot know how many keys a window or a join
 will leave, so jobs that write freeze such keys, count them, and broadcast them
-only up to a bound; above it the join is left to shuffle.
+only up to Spark's own broadcast threshold; above it the join is left to shuffle. Both
+ways give the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
 
-# Some 100 MB of rows as wide as a fact.
-SMALL_ROWS = 500_000
-
 
 def frozen(rows: DataFrame) -> DataFrame:
     """The rows as they are now, in reliable storage: every later step sees the same."""
@@ -23,15 +21,28 @@ def frozen(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
-def is_small(frozen_rows: DataFrame, bound: int = SMALL_ROWS) -> bool:
-    return frozen_rows.count() <= bound
+def threshold(spark: SparkSession) -> int:
+    """Bytes that Spark would broadcast by itself; -1 if it never does."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def row_bytes(rows: DataFrame) -> int:
+    """Spark's estimate of a row's width, from the types of its columns."""
+    schema = rows._jdf.schema()
+    return 8 + sum(schema.apply(i).dataType().defaultSize() for i in range(len(rows.columns)))
+
+
+def is_small(frozen_rows: DataFrame, limit: int | None = None) -> bool:
+    """Whether the rows, counted now, stay within ``limit`` bytes (Spark's threshold)."""
+    limit = threshold(frozen_rows.sparkSession) if limit is None else limit
+    return frozen_rows.count() * row_bytes(frozen_rows) <= limit
 
 
 def hinted(rows: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(rows) if small else rows
 
 
-def measured(rows: DataFrame, bound: int = SMALL_ROWS) -> DataFrame:
-    """Frozen rows that joins may broadcast if there are few."""
+def measured(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """Frozen rows that joins may broadcast if they are small."""
     rows = frozen(rows)
-    return hinted(rows, is_small(rows, bound))
+    return hinted(rows, is_small(rows, limit))

@@ -81,15 +81,15 @@ def _failure(task: Mapping, error: Exception) -> tuple:
 
 
 def audit(
-    spark: SparkSession, catalogue: Sequence[Mapping], by: str = "count", isolate: bool = False
+    spark: SparkSession, catalogue: Sequence[Mapping], by: str = "count", isolate: bool = True
 ) -> DataFrame:
     """One row per task: both sides, their difference, and the outcome.
 
     The difference is of counts where both sides have a count query, else of
     highest keys; ``by="max"`` ignores count queries. A task whose text names
-    an unknown table or column is an ERROR row, and all others run in one job.
-    ``isolate`` runs each task as its own job, so that one failing while it
-    runs is an ERROR row too. Each task gives one row, whatever it reads.
+    an unknown table or column is an ERROR row. Each task runs as its own job, so that
+    one failing while it runs is an ERROR row too; without ``isolate`` all tasks
+    are one job, which such a task stops. Each task gives one row, whatever it reads.
     """
 
     def ready(task: Mapping) -> DataFrame | tuple:

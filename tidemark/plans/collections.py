@@ -20,12 +20,14 @@ from tidemark.functions import (
     month_start,
     net_amount,
     to_usd,
+    year_month,
 )
 from tidemark.functions.rules import PACK_TYPE
 from tidemark.operators.aggregates import corp_report, hot_cold, latest, one_per_key, union_tagged
 from tidemark.operators.joins import listed_or
 from tidemark.operators.merge import upsert
 from tidemark.operators.shape import collected, in_month, month_range
+from tidemark.operators.sizes import frozen, hinted, is_small, measured
 
 # Document types of a packed collection, the change kind that
 # counts, and the columns a late change and an upsert are judged by.
@@ -58,12 +60,16 @@ def _placed(rows: DataFrame, s: Sources, packed: bool) -> DataFrame:
     """Inner joins to client and developer, which meet first: rows are joined once.
 
     Leaving out (or asking for) the pack type drops rows without a client, as
-    the left join of the not-packed branch does once its filter is applied.
+    the left join of the not-packed branch does once its filter is applied. A client or
+    developer that is there twice counts once, in a declared order, so that a row is
+    never doubled and no window over the rows is needed.
     """
     kind = F.col("dppaidin") == PACK_TYPE
     clients = s.clients.where(kind if packed else ~kind)
     clients = clients.select("clientid", "dppaidin", "with_card", F.col("company").alias("iddev"))
-    return rows.join(clients.join(s.developers.select("iddev", "idcorp"), "iddev"), "clientid")
+    placed = clients.join(s.developers.select("iddev", "idcorp"), "iddev")
+    order = [F.asc(c) for c in ("iddev", "idcorp", "dppaidin", "with_card")]
+    return rows.join(one_per_key(placed, ["clientid"], order), "clientid")
 
 
 def _columns(on: Column, mode: Column, gross: Column, net: Column) -> list[Column]:
@@ -86,7 +92,10 @@ def _columns(on: Column, mode: Column, gross: Column, net: Column) -> list[Colum
 
 
 def not_packed(
-    s: Sources, ym_from: int, ym_to: int | None = None, late: DataFrame | None = None
+    s: Sources,
+    ym_from: int | None,
+    ym_to: int | str | None = None,
+    late: DataFrame | None = None,
 ) -> DataFrame:
     """Collections of the months, and those ``late`` names whatever their month.
 
@@ -109,7 +118,7 @@ def not_packed(
     )
 
 
-def packed(s: Sources, ym_from: int, ym_to: int | None = None) -> DataFrame:
+def packed(s: Sources, ym_from: int | None, ym_to: int | str | None = None) -> DataFrame:
     """Ticket items of the months, with the collection each belongs to."""
     tickets = in_month(s.tickets, "reference_date", ym_from, ym_to)
     items = s.ticket_items.select(F.col("id").alias("item"), "ticket_id", "idcc", "tipodoc", "abono")
@@ -131,12 +140,13 @@ def packed(s: Sources, ym_from: int, ym_to: int | None = None) -> DataFrame:
 
 
 def collections(
-    s: Sources, ym_from: int, ym_to: int | None = None, late: DataFrame | None = None
+    s: Sources,
+    ym_from: int | None,
+    ym_to: int | str | None = None,
+    late: DataFrame | None = None,
 ) -> DataFrame:
-    """Both branches, one row per (indice, is_packed)."""
-    rows = union_tagged(not_packed(s, ym_from, ym_to, late), packed(s, ym_from, ym_to))
-    order = [F.asc(c) for c in ("clientid", "iddev", "idcorp")]
-    return one_per_key(rows, HISTORY_KEY, order)
+    """Both branches, one row per (indice, is_packed): the keys of collection and ticket item."""
+    return union_tagged(not_packed(s, ym_from, ym_to, late), packed(s, ym_from, ym_to))
 
 
 def last_changes(log: DataFrame, ym: int) -> DataFrame:
@@ -173,27 +183,36 @@ def late_changes(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
     return unseen_changes(last_changes(log, ym), history)
 
 
+def late_keys(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
+    """The collections with late changes, frozen; a few are sent to the tables they are in."""
+    changes = frozen(last_changes(log, ym))
+    small = is_small(changes)
+    unseen = unseen_changes(hinted(changes, small), history, small)
+    return measured(unseen.select("cardcollec_id"))
+
+
 def load_rows(s: Sources, log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
     """What the load of month ``ym`` writes: the month, and late changes before it."""
-    late = late_changes(log, history, ym).select("cardcollec_id")
-    return collections(s, ym, late=late)
+    return collections(s, ym, late=late_keys(log, history, ym))
 
 
 def load_month(
     s: Sources, log: DataFrame, history: DataFrame, ym: int, at: datetime | str
 ) -> DataFrame:
     """The history after the load; a second run changes nothing."""
-    return merge_history(history, load_rows(s, log, history, ym), at)
+    return merge_touched(history, load_rows(s, log, history, ym), at)
 
 
 def load_months(
-    s: Sources, history: DataFrame, ym_from: int, ym_to: int, at: datetime | str
+    s: Sources, history: DataFrame, ym_from: int | None, ym_to: int | str, at: datetime | str
 ) -> DataFrame:
     """The history after a range of months was loaded again, as one job."""
     return merge_history(history, collections(s, ym_from, ym_to), at)
 
 
-def merge_history(history: DataFrame, rows: DataFrame, at: datetime | str) -> DataFrame:
+def merge_history(
+    history: DataFrame, rows: DataFrame, at: datetime | str, small: bool = False
+) -> DataFrame:
     return upsert(
         history,
         rows.withColumn("insertat", as_ntz(at)),
@@ -202,9 +221,27 @@ def merge_history(history: DataFrame, rows: DataFrame, at: datetime | str) -> Da
         stamp="updateat",
         stamp_cols=STAMP_COLS,
         at=at,
+        small_source=small,
     )
 
 
+def merge_touched(history: DataFrame, rows: DataFrame, at: datetime | str) -> DataFrame:
+    """The same for a few months: rows of all other months pass by the join.
+
+    The rows are frozen. The months they touch, by their date or by that of the row they
+    replace, are found by the keys alone; there are as many as the calendar has.
+    """
+    rows = frozen(rows)
+    small = is_small(rows)
+    month = year_month("pay_date")
+    keys = hinted(rows.select(*HISTORY_KEY), small)
+    held = history.select(*HISTORY_KEY, month.alias("_m")).join(keys, list(HISTORY_KEY), "left_semi")
+    touched = held.select("_m").unionByName(rows.select(month.alias("_m"))).distinct()
+    months = [r[0] for r in touched.collect()]
+    hit = F.coalesce(month.isin([m for m in months if m is not None]), F.lit(None in months))
+    return history.where(~hit).unionByName(merge_history(history.where(hit), rows, at, small))
+
+
 def in_usd(rows: DataFrame, rates: DataFrame) -> DataFrame:
     """Gross and net in USD by the rate of (currency, pay_year)."""
     table = rates.select("currency", F.col("anio").alias("pay_year"), "rate")

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import as_ntz, previous_period, year_month
 from tidemark.operators.cleanup import suspect_payments, suspect_requests
+from tidemark.operators.joins import exists_in
 from tidemark.operators.merge import pending_row
 from tidemark.operators.shape import authorized, paid, requested
-from tidemark.operators.sizes import frozen, hinted, is_small, measured
+from tidemark.operators.sizes import measured
 from tidemark.plans import collections as coll
 from tidemark.plans.facts import authorized_fact, paid_fact, requested_fact
 from tidemark.plans.sync import clean_by_month, sync_by_month
@@ -60,7 +61,10 @@ def sync_requested(
 
 
 def _sync_payments(root, payments, redeems, clients, developers, at, granularity, counted, build, key):
-    keys = _pending_keys(payments.sparkSession, root, counted(payments), key, granularity)
+    # a payment that the load has no request for (or no known client) is not pending either
+    named = exists_in(redeems, clients, "clientid") if build is authorized_fact else redeems
+    loadable = exists_in(counted(payments), named, "indice", "pagoid")
+    keys = _pending_keys(payments.sparkSession, root, loadable, key, granularity)
     asked = _only(redeems, keys, "pagoid")
     rows = build(_only(payments, keys), asked, clients, developers, at)
     return sync_by_month(root, rows, [key], MONTH, order=[F.desc("update_at")], keep=("create_at",))
@@ -113,10 +117,7 @@ def load_collections(
     history = current(spark, root, MONTH)
     late = None
     if history is not None and ym_to is None:
-        changes = frozen(coll.last_changes(log, ym))
-        small = is_small(changes)
-        unseen = coll.unseen_changes(hinted(changes, small), history, small)
-        late = measured(unseen.select("cardcollec_id"))
+        late = coll.late_keys(log, history, ym)
     rows = coll.collections(sources, ym, ym_to, late)
     return sync_by_month(
         root,

@@ -63,14 +63,20 @@ def requested_fact(
 def request_of_payment(
     redeems: DataFrame, dims: DataFrame, how: str, cols: Sequence[str] = ()
 ) -> DataFrame:
-    """One request per payment, joined to its client."""
+    """One request per payment, joined to its client (the first one, should it be there twice).
+
+    A left join drops no request, so the requests are reduced first and only what
+    is left meets the clients; an inner join has to come first.
+    """
     links = redeems.where(F.col("pagoid").isNotNull()).select(
         "pagoid", "clientid", "currency", F.col("indice").alias("_request")
     )
-    links = links.join(dims, "clientid", how)
-    return one_per_key(links, ["pagoid"], [F.desc("_request")]).withColumnRenamed(
-        "pagoid", "indice"
-    ).drop("_request")
+    dims = one_per_key(dims, ["clientid"], [F.asc(c) for c in ("iddev", "idcorp", "dppaidin")])
+    if how == "left":
+        links = one_per_key(links, ["pagoid"], [F.desc("_request")]).join(dims, "clientid", how)
+    else:
+        links = one_per_key(links.join(dims, "clientid", how), ["pagoid"], [F.desc("_request")])
+    return links.withColumnRenamed("pagoid", "indice").drop("_request")
 
 
 def _payment_fact(payments, redeems, clients, developers, how, kind, on, key, at) -> DataFrame:

@@ -8,9 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import name_of_month
+from tidemark.functions.rules import PACK_TYPE
 from tidemark.operators.aggregates import filled_counts, month_count
 from tidemark.operators.cleanup import suspect_payments, suspect_requests
-from tidemark.operators.shape import authorized, before, paid, paid_date, requested
+from tidemark.operators.shape import (
+    authorized,
+    before,
+    collected,
+    in_month,
+    paid,
+    paid_date,
+    requested,
+)
+from tidemark.plans.collections import PACKED_DOCUMENTS
 from tidemark.plans.facts import request_counts
 
 
@@ -118,6 +128,32 @@ def recon_amount(source: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
+def recon_amount_independent(s, history: DataFrame, ym_from: int | None, ym_to: int | str | None = None) -> DataFrame:
+    """The same audit from a source of its own, so that it also shows a fault of the load.
+
+    It joins clients but no developers: a collection that the load loses for want of a
+    developer is counted here and missing there. ``s`` are the load's ``Sources``.
+    """
+    kinds = s.clients.select("clientid", (F.col("dppaidin") == PACK_TYPE).alias("_packs"))
+    plain = collected(in_month(s.cardcollec, "fcobrado", ym_from, ym_to)).join(kinds, "clientid").where("not _packs")
+    items = s.ticket_items.where(F.col("tipodoc").isin(*PACKED_DOCUMENTS))
+    items = items.join(in_month(s.tickets, "reference_date", ym_from, ym_to), F.col("ticket_id") == F.col("idticket"))
+    card = s.cardcollec.select(F.col("indice").alias("idcc"), "clientid")
+    packs = items.join(card, "idcc").join(kinds, "clientid").where("_packs")
+
+    def side(rows: DataFrame, key: str, packed: int, on: str, amount: str) -> DataFrame:
+        return rows.select(
+            F.col(key).alias("indice"),
+            F.lit(packed).alias("is_packed"),
+            F.year(on).alias("pay_year"),
+            F.month(on).alias("pay_month"),
+            F.col(amount).cast("decimal(18,6)").alias("amount_bruta_usd"),
+        )
+
+    both = side(plain, "indice", 1, "fcobrado", "monto").unionByName(side(packs, "id", 2, "reference_date", "abono"))
+    return recon_amount(both, history)
+
+
 def orphan_audit(
     requested_t: DataFrame,
     authorized_t: DataFrame,

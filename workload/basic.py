@@ -15,7 +15,7 @@ from workload.registry import query
 
 ASOF = date(2001, 7, 1)
 AT = datetime(2001, 7, 20, 5, 30)
-ALL_MONTHS = (199501, 200212)
+ALL_MONTHS = (None, shape.OPEN)
 MONTH = 200005
 
 MONTH_NAME = (
@@ -231,7 +231,7 @@ def _(t):
        from tickets t join ticket_items i on i.ticket_id = t.idticket and i.tipodoc in ('NC', 'PA', 'DTO')
        join cardcollec h on h.indice = i.idcc join clients c on c.clientid = h.clientid
        join developers d on d.iddev = c.company
-       where c.dppaidin = 2 and t.reference_date >= date '1995-01-01' and t.reference_date < date '2003-01-01'""",
+       where c.dppaidin = 2 and t.reference_date is not null""",
 )
 def _(t):
     return coll.packed(sources(t), *ALL_MONTHS)

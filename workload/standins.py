@@ -158,14 +158,12 @@ STANDINS = {
     "runlog": """
         select event_id as id, concat('job_', event_type) as paquete,
                case event_id % 10 when 0 then 'ERROR' when 1 then 'RUNNING' else 'OK' end as estado,
-               cast(floor(value) as bigint) as filas_insertadas, ts as fecha_inicio,
+               cast(floor(value) as bigint) as filas_insertadas, date_trunc('hour', ts) as fecha_inicio,
                case when event_id % 10 <> 1 then ts + interval '1' minute end as fecha_fin
         from events""",
     "archive": "select id from runlog where estado in ('OK', 'ERROR') and id % 3 <> 0",
-    # rows that carry the start time of the run which loaded them
-    "loaded": """
-        select o_orderkey as clientid, fecha_inicio as createdat
-        from orders join runlog on id = o_orderkey - o_orderkey % 50""",
+    # rows that carry the run which loaded them; some runs left no log row, some started together
+    "loaded": "select o_orderkey as clientid, o_orderkey - o_orderkey % 50 as run_id from orders",
     "phones": """
         select distinct o_custkey as clientid, c_mktsegment as product,
                concat('+52', lpad(cast(o_custkey * 7 + o_orderkey % 3 as string), 8, '0')) as phone

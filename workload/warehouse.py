@@ -259,7 +259,9 @@ FACT_NOW = f"""select indice as contador, clientid, cast(fcorreo as date) as fec
         from requested_target t full outer join ({FACT_NOW}) s on s.contador = t.contador""",
 )
 def _(t):
-    return merge.upsert(t.requested_target, _request_rows(t), ["contador"], keep=("create_at",))
+    rows = _request_rows(t)
+    known = [c for c in rows.columns if c in t.requested_target.columns]
+    return merge.upsert(t.requested_target, rows.select(known), ["contador"], keep=("create_at",))
 
 
 @query(
@@ -286,7 +288,7 @@ HISTORY_SPEC = (
 HISTORY_COLS = [c.partition(":")[0] for c in HISTORY_SPEC.split()]
 
 
-def _branches(plain_where: str, packed_where: str) -> str:
+def _branches(plain_where: str, packed_where: str, plain_join: str = "") -> str:
     return f"""select h.indice, 1 as is_packed, h.indice as idcc, h.clientid,
         cast(year(h.fcobrado) as int) as pay_year, cast(month(h.fcobrado) as int) as pay_month,
         cast(h.fcobrado as date) as pay_date, d.idcorp, d.iddev,
@@ -294,7 +296,7 @@ def _branches(plain_where: str, packed_where: str) -> str:
         cast(case when h.statusc in (1, 2, 3) then h.monto else 0 end as decimal(18,6)) as amount_neta_usd,
         h.currency, h.pay_method, h.statusc
       from cardcollec h left join clients c on c.clientid = h.clientid join developers d on d.iddev = c.company
-      where h.fcobrado is not null and h.statusc in {COLLECTED} and c.dppaidin not in (2) and ({plain_where})
+      {plain_join} where h.fcobrado is not null and h.statusc in {COLLECTED} and c.dppaidin not in (2) and ({plain_where})
       union all
       select i.id, 2, i.idcc, h.clientid, cast(year(t.reference_date) as int),
         cast(month(t.reference_date) as int), cast(t.reference_date as date), d.idcorp, d.iddev, 2, h.agente,
@@ -314,6 +316,9 @@ def _months(ym_from: int, ym_to: int) -> str:
     return _branches(f"{_ym('h.fcobrado')} {span}", f"{_ym('t.reference_date')} {span}")
 
 
+EVERY_MONTH = _branches("true", "t.reference_date is not null")
+
+
 @query("collections_month", HISTORY_SPEC, _months(MONTH, MONTH))
 def _(t):
     return coll.collections(sources(t), MONTH)
@@ -347,7 +352,8 @@ def _merged_sql(rows: str) -> str:
         for c in HISTORY_COLS
         if c not in ("indice", "is_packed")
     )
-    differs = " or ".join(f"t.{c} is distinct from s.{c}" for c in coll.STAMP_COLS)
+    compared = "amount_bruta_usd amount_neta_usd statusc pay_date clientid idcc modoin agente pay_method"
+    differs = " or ".join(f"t.{c} is distinct from s.{c}" for c in compared.split())
     return f"""select coalesce(t.indice, s.indice) as indice, coalesce(t.is_packed, s.is_packed) as is_packed,
         {take}, case when t.indice is null then {STAMPED} else t.insertat end as insertat,
         case when t.indice is not null and s.indice is not null and ({differs}) then {STAMPED}
@@ -363,8 +369,9 @@ LOADED_SPEC = HISTORY_SPEC + " insertat:s updateat:s"
     LOADED_SPEC,
     _merged_sql(
         _branches(
-            f"{_ym('h.fcobrado')} = {LATE_MONTH} or h.indice in (select cardcollec_id from ({LATE}) z)",
+            f"({_ym('h.fcobrado')} = {LATE_MONTH} or z.cardcollec_id is not null)",
             f"{_ym('t.reference_date')} = {LATE_MONTH}",
+            f"left join ({LATE}) z on z.cardcollec_id = h.indice",
         )
     ),
 )
@@ -374,10 +381,10 @@ def _(t):
 
 @query("upsert_stamp_changed", LOADED_SPEC, _merged_sql(_months(MONTH, MONTH)))
 def _(t):
-    return coll.merge_history(t.history_target, coll.collections(sources(t), MONTH), AT)
+    return coll.merge_touched(t.history_target, coll.collections(sources(t), MONTH), AT)
 
 
-@query("rebuild_months", LOADED_SPEC, _merged_sql(_months(*ALL_MONTHS)))
+@query("rebuild_months", LOADED_SPEC, _merged_sql(EVERY_MONTH))
 def _(t):
     return coll.load_months(sources(t), t.history_target, *ALL_MONTHS, AT)
 
@@ -387,7 +394,7 @@ def _(t):
     "indice:i is_packed:i pay_date:s amount_bruta_usd:d",
     f"""select indice, is_packed, pay_date, amount_bruta_usd from history_target where pay_date < date '2000-05-01'
         union all
-        select indice, is_packed, pay_date, amount_bruta_usd from ({_months(*ALL_MONTHS)}) l
+        select indice, is_packed, pay_date, amount_bruta_usd from ({EVERY_MONTH}) l
         where pay_date >= date '2000-05-01'""",
 )
 def _(t):
@@ -413,7 +420,7 @@ USD = """cast(case when x.currency = 'MXN' then round(cast({a} as double) / cast
                  {USD.format(a='amount_neta_usd')} as net
           from (select {', '.join(HISTORY_COLS)} from history_target where pay_date < date '2000-05-01'
                 union all
-                select {', '.join(HISTORY_COLS)} from ({_months(*ALL_MONTHS)}) l
+                select {', '.join(HISTORY_COLS)} from ({EVERY_MONTH}) l
                 where pay_date >= date '2000-05-01') x
           left join rates r on r.currency = x.currency and r.anio = x.pay_year) y
         group by pay_year, idcorp""",
@@ -423,25 +430,47 @@ def _(t):
     return coll.corp_year_report(t.history_target, live, MONTH, t.rates)
 
 
-@query(
-    "recon_amount",
+AMOUNT_SPEC = (
     "pay_year_month:i cnt_origen:i monto_origen:d cnt_destino:i monto_destino:d diff_cnt:i diff_monto:d "
-    "cnt_idcc:i cnt_clientid_uniq:i cnt_agente:i cnt_pay_method:i cnt_modoin:i",
-    f"""select s.pay_year * 100 + s.pay_month as pay_year_month, count(s.indice) as cnt_origen,
+    "cnt_idcc:i cnt_clientid_uniq:i cnt_agente:i cnt_pay_method:i cnt_modoin:i"
+)
+
+
+def _amounts(source: str) -> str:
+    return f"""select s.pay_year * 100 + s.pay_month as pay_year_month, count(s.indice) as cnt_origen,
           round(sum(s.amount_bruta_usd), 2) as monto_origen, count(x.indice) as cnt_destino,
           round(sum(x.amount_bruta_usd), 2) as monto_destino, count(s.indice) - count(x.indice) as diff_cnt,
           round(sum(s.amount_bruta_usd) - sum(x.amount_bruta_usd), 2) as diff_monto,
           count(x.idcc) as cnt_idcc, count(distinct x.clientid) as cnt_clientid_uniq,
           count(x.agente) as cnt_agente, count(x.pay_method) as cnt_pay_method,
           sum(case when x.modoin is not null then 1 else 0 end) as cnt_modoin
-        from ({_months(*ALL_MONTHS)}) s
+        from ({source}) s
         left join history_target x on x.indice = s.indice and x.is_packed = s.is_packed
-        group by 1 order by 1""",
-)
+        group by 1 order by 1"""
+
+
+@query("recon_amount", AMOUNT_SPEC, _amounts(EVERY_MONTH))
 def _(t):
     return recon.recon_amount(coll.collections(sources(t), *ALL_MONTHS), t.history_target)
 
 
+# without developers, as the audit's own source has it
+OWN_SOURCE = f"""select h.indice, 1 as is_packed, year(h.fcobrado) as pay_year, month(h.fcobrado) as pay_month,
+        h.monto as amount_bruta_usd
+      from cardcollec h left join clients c on c.clientid = h.clientid
+      where h.fcobrado is not null and h.statusc in {COLLECTED} and c.dppaidin not in (2)
+      union all
+      select i.id, 2, year(t.reference_date), month(t.reference_date), i.abono
+      from tickets t join ticket_items i on i.ticket_id = t.idticket and i.tipodoc in ('NC', 'PA', 'DTO')
+      join cardcollec h on h.indice = i.idcc join clients c on c.clientid = h.clientid
+      where c.dppaidin = 2 and t.reference_date is not null"""
+
+
+@query("recon_amount_independent", AMOUNT_SPEC, _amounts(OWN_SOURCE))
+def _(t):
+    return recon.recon_amount_independent(sources(t), t.history_target, *ALL_MONTHS)
+
+
 # --- cleanup
 
 YEAR = "date '2001-01-01'"
@@ -662,6 +691,23 @@ def _(t):
     return recon.recon_paid(t.payments, t.redeems, t.paid_target, ASOF)
 
 
+# The count rule as a catalogue writes it: pending source rows, found by a left join to the target.
+_PENDING = {
+    "solicitados": """select count(*), max(b.indice) from redeems b
+        left join clients c on c.clientid = b.clientid left join requested_target t on t.contador = b.indice
+        where not isnull(b.fcorreo) and ifnull(b.status_r, 0) <> 0 and (t.contador is null
+          or date(coalesce(b.updateat, '2000-01-01')) > date(coalesce(t.update_at, '2000-01-01')))""",
+    "autorizados": """select count(*), max(a.indice) from payments a
+        inner join redeems b on b.pagoid = a.indice inner join clients c on c.clientid = b.clientid
+        left join authorized_target t on t.contador = a.indice
+        where not isnull(a.f_authorized) and (t.contador is null
+          or date(coalesce(a.updateat, '2000-01-01')) > date(coalesce(t.update_at, '2000-01-01')))""",
+    "pagados": """select count(*), max(a.indice) from payments a
+        inner join redeems b on b.pagoid = a.indice left join clients c on c.clientid = b.clientid
+        left join paid_target t on t.pagoid = a.indice
+        where a.status_p >= 3 and not isnull(ifnull(a.f_excel, a.f_pago)) and (t.pagoid is null
+          or date(coalesce(a.updateat, '2000-01-01')) > date(coalesce(t.update_at, '2000-01-01')))""",
+}
 AUDITED = ("redeems", "payments", "clients", "requested_target", "authorized_target", "paid_target")
 CATALOGUE = [
     {
@@ -676,18 +722,9 @@ CATALOGUE = [
         },
     }
     for task, source, target, key, text in (
-        (
-            "solicitados", "redeems", "requested_target", "contador",
-            "select count(*), max(indice) from redeems where not isnull(fcorreo) and ifnull(status_r, 0) <> 0",
-        ),
-        (
-            "autorizados", "payments", "authorized_target", "contador",
-            "select count(*), max(indice) from payments where f_authorized is not null",
-        ),
-        (
-            "pagados", "payments", "paid_target", "pagoid",
-            "select count(*), max(indice) from payments where status_p >= 3 and not isnull(ifnull(f_excel, f_pago))",
-        ),
+        ("solicitados", "redeems", "requested_target", "contador", _PENDING["solicitados"]),
+        ("autorizados", "payments", "authorized_target", "contador", _PENDING["autorizados"]),
+        ("pagados", "payments", "paid_target", "pagoid", _PENDING["pagados"]),
     )
 ] + [
     {
@@ -696,7 +733,18 @@ CATALOGUE = [
         "dag_id": "none",
         "origen": {"tabla": "absent_table", "id_col": "id"},
         "destino": {"tabla": "redeems", "id_col": "indice"},
-    }
+    },
+    {
+        "task_id": "se_rompe",
+        "descripcion": "fails while it runs",
+        "dag_id": "none",
+        "origen": {
+            "sql_count": "select count(*), max(cast(concat('x', indice) as bigint)) from redeems",
+            "tabla": "absent_table",
+            "id_col": "id",
+        },
+        "destino": {"tabla": "redeems", "id_col": "indice"},
+    },
 ]
 AUDIT_SPEC = (
     "task_id dag_id count_origen:i count_destino:i max_origen:i max_destino:i diferencia:i estado con_error:i"
@@ -711,7 +759,9 @@ def _audit(t, by: str):
     return rows.withColumn("con_error", F.col("error").isNotNull().cast("int"))
 
 
-FAILED_ROW = "select 'sin_tabla', 'none', null, null, null, null, null, 'ERROR', 1"
+FAILED_ROW = " union all ".join(
+    f"select '{task}', 'none', null, null, null, null, null, 'ERROR', 1" for task in ("sin_tabla", "se_rompe")
+)
 
 
 def _outcome(rows: str, gap: str) -> str:
@@ -719,18 +769,24 @@ def _outcome(rows: str, gap: str) -> str:
         case when {gap} > 0 then 'DIFERENCIA' else 'SINCRONIZADO' end as estado, 0 as con_error from ({rows}) o"""
 
 
+_NEVER = "timestamp '2000-01-01 00:00:00'"
+_NEWER = f"cast(coalesce(a.updateat, {_NEVER}) as date) > cast(coalesce(t.update_at, {_NEVER}) as date)"
 _COUNTED = {
     "solicitados": (
-        "select count(*) as n, max(indice) as m from redeems where fcorreo is not null and coalesce(status_r, 0) <> 0",
+        f"""select count(*) as n, max(a.indice) as m from redeems a left join requested_target t on t.contador = a.indice
+            where a.fcorreo is not null and coalesce(a.status_r, 0) <> 0 and (t.contador is null or {_NEWER})""",
         "select count(*) as n, max(contador) as m from requested_target",
     ),
     "autorizados": (
-        "select count(*) as n, max(indice) as m from payments where f_authorized is not null",
+        f"""select count(*) as n, max(a.indice) as m from payments a join redeems b on b.pagoid = a.indice
+            join clients c on c.clientid = b.clientid left join authorized_target t on t.contador = a.indice
+            where a.f_authorized is not null and (t.contador is null or {_NEWER})""",
         "select count(*) as n, max(contador) as m from authorized_target",
     ),
     "pagados": (
-        """select count(*) as n, max(indice) as m from payments
-           where status_p >= 3 and coalesce(f_excel, f_pago) is not null""",
+        f"""select count(*) as n, max(a.indice) as m from payments a join redeems b on b.pagoid = a.indice
+            left join clients c on c.clientid = b.clientid left join paid_target t on t.pagoid = a.indice
+            where a.status_p >= 3 and coalesce(a.f_excel, a.f_pago) is not null and (t.pagoid is null or {_NEWER})""",
         "select count(*) as n, max(pagoid) as m from paid_target",
     ),
 }
@@ -800,13 +856,13 @@ def _(t):
 
 @query(
     "load_metrics",
-    "fecha_inicio:s paquete filas:i min_id:i max_id:i segundos:i filas_seg:d",
-    """select l.createdat as fecha_inicio, r.paquete, l.filas, l.min_id, l.max_id,
+    "run_id:i fecha_inicio:s paquete filas:i min_id:i max_id:i segundos:i filas_seg:d",
+    """select l.run_id, r.fecha_inicio, r.paquete, l.filas, l.min_id, l.max_id,
           date_diff('second', r.fecha_inicio, r.fecha_fin) as segundos,
           cast(l.filas as double) / nullif(date_diff('second', r.fecha_inicio, r.fecha_fin), 0) as filas_seg
-       from (select createdat, count(*) as filas, min(clientid) as min_id, max(clientid) as max_id
-             from loaded group by createdat) l
-       join runlog r on r.fecha_inicio = l.createdat""",
+       from (select run_id, count(*) as filas, min(clientid) as min_id, max(clientid) as max_id
+             from loaded group by run_id) l
+       left join runlog r on r.id = l.run_id""",
 )
 def _(t):
     return runlog.load_metrics(t.loaded, t.runlog, "clientid")
