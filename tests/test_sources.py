@@ -56,18 +56,52 @@ def test_chain(spark):
 def test_read_options():
     whole = jdbc.read_options(URL, "db.clients")
     assert whole["dbtable"] == "db.clients" and "partitionColumn" not in whole
-    split = jdbc.read_options(URL, "select id from t ", "id", (1, 900), 8, extra={"user": "u"})
-    assert split["dbtable"] == "(select id from t) q"
-    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"]) == ("id", "1", "900")
-    assert (split["numPartitions"], split["user"]) == ("8", "u")
-    empty_table = jdbc.read_options(URL, "t", "id", (None, None))
-    assert "partitionColumn" not in empty_table
+    query = jdbc.read_options(URL, "select id from t ", extra={"user": "u"})
+    assert (query["dbtable"], query["user"]) == ("(select id from t) q", "u")
+
+
+@pytest.mark.parametrize(
+    ("text", "query"),
+    [("select 1", True), ("SELECT\tid from t", True), ("\n with x as (select 1) select * from x", True),
+     ("selections", False), ("with_x", False), ("db.select_log", False)],
+)
+def test_what_is_a_query(text, query):
+    assert jdbc.is_query(text) is query
+    assert (jdbc.read_options(URL, text)["dbtable"] != text.strip()) is query
+    assert jdbc.size_query(text) == f"select count(*) as n from {f'({text.strip()}) q' if query else text}"
+
+
+def test_cut_points_split_all_rows():
+    """The statements, run by DuckDB."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table t as select case when i % 10 = 0 then i else 7 end as k from range(1000) r(i)")
+    con.execute("insert into t select null from range(5)")
+    cuts = [r[0] for r in con.execute(jdbc.cuts_query("t", "k", 8)).fetchall()]
+    conditions = jdbc.predicates("k", cuts)
+    n = [con.execute(f"select count(*) from t where {c}").fetchone()[0] for c in conditions]
+    assert sum(n) == 1005 and len(n) > 1
+    assert jdbc.predicates("k", []) == jdbc.predicates("k", [3]) == ["1 = 1"]
+    assert jdbc.predicates("k", ["a", "o'b"]) == ["k < 'o''b' or k is null", "k >= 'o''b'"]
+
+
+def test_a_staged_table_is_taken_over_whole():
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table t as select 1 as a, 'x' as b")
+    con.execute("create table t__stage as select 'y' as b, 2 as a")
+    for text in jdbc.take_over("t", ["a", "b"]):
+        con.execute(text)
+    assert con.execute("select a, b from t").fetchall() == [(2, "y")]
+    with pytest.raises(ValueError):
+        jdbc.take_over("t; drop table x", ["a"])
 
 
 def test_write_options():
     assert jdbc.write_options(URL, "t")["batchsize"] == "1000"
-    assert "truncate" not in jdbc.write_options(URL, "t")
-    assert jdbc.write_options(URL, "t", truncate=True)["truncate"] == "true"
+    assert jdbc.write_options(URL, "t", extra={"user": "u"})["user"] == "u"
 
 
 @pytest.fixture
@@ -91,24 +125,38 @@ def calls(monkeypatch):
     return seen
 
 
-def test_append_replace_and_copy(spark, calls):
+def test_append_replace_and_copy(spark, calls, monkeypatch):
+    ran = []
+    monkeypatch.setattr(jdbc, "run_in_transaction", lambda spark, url, texts, extra=None: ran.append(list(texts)))
     df = spark.range(1)
     jdbc.append(df, URL, "t", user="u")
     jdbc.replace(df, URL, "t")
     jdbc.copy_query(spark, "select :n as n", URL, "c", "replace", {"n": 1})
     jdbc.copy_query(spark, "select 1 as n", URL, "c")
-    got = [(c["dbtable"], c["mode"], c["batchsize"], c.get("truncate")) for c in calls]
+    got = [(c["dbtable"], c["mode"], c["batchsize"]) for c in calls]
     assert got == [
-        ("t", "append", "1000", None),
-        ("t", "overwrite", "1000", "true"),
-        ("c", "overwrite", "10000", "true"),
-        ("c", "append", "10000", None),
+        ("t", "append", "1000"),
+        ("t__stage", "overwrite", "1000"),
+        ("c__stage", "overwrite", "10000"),
+        ("c", "append", "10000"),
     ]
+    assert ran[0] == ["delete from t", "insert into t (id) select id from t__stage"]
+    assert ran[1] == ["drop table t__stage"] and len(ran) == 4
     assert calls[0]["user"] == "u"
     with pytest.raises(ValueError):
         jdbc.copy_query(spark, "select 1 as n", URL, "c", "upsert")
 
 
 def test_a_read_is_split_by_key(spark, calls):
-    jdbc.read_table(spark, URL, "t", "id", (0, 10), partitions=4)
-    assert (calls[0]["partitionColumn"], calls[0]["numPartitions"]) == ("id", "4")
+    seen = []
+    keep = readwriter.DataFrameReader.jdbc
+    try:
+        readwriter.DataFrameReader.jdbc = lambda self, *args, **kwargs: seen.append((args, kwargs))
+        jdbc.read_table(spark, URL, "t", "id", [0, 5, 9], user="u")
+    finally:
+        readwriter.DataFrameReader.jdbc = keep
+    (args, kwargs), = seen
+    assert args == (URL, "t") and kwargs["properties"] == {"fetchsize": "10000", "user": "u"}
+    assert kwargs["predicates"] == ["id < 5 or id is null", "id >= 5 and id < 9", "id >= 9"]
+    jdbc.read_table(spark, URL, "t")
+    assert calls[0]["dbtable"] == "t"
