@@ -17,7 +17,8 @@ sample of documents) sends its windows one by one, dealt out by the window's own
 Both change the way, not the result.
 
 Null text has no words. A null doc_id counts as larger than any number. Documents with the
-same doc_id are not compared with each other; repeated rows get the same result. An empty
+same doc_id are not compared with each other (a 32-bit hash of the text tells them
+apart); repeated rows get the same result. An empty
 table gives no rows.
 """
 
@@ -34,12 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import each_slice, free_names, input_bytes, spread, with_columns
-from tidemark.llm.text import Words, covered, mix, slices, windows
+from tidemark.llm.text import SLICE_BYTES, Words, covered, mix, slices, windows
 
 WINDOW = 13
-GRAM = 3
-FLUSH_BYTES = 8_000_000  # text per task between two flushes
-BUCKET_BYTES = 12_000_000  # packed strings per bucket, about
+GRAM = 2
+FLUSH_BYTES = 5_000_000  # text per task between two flushes
+BUCKET_BYTES = 4_000_000  # packed strings per bucket, about
 SAMPLE = 20_000
 _LAST = 2**63 - 1  # stands for a null doc_id
 
@@ -67,21 +68,26 @@ def _runs(at: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.diff(np.append(begin, len(at)))
 
 
+# doc_id, key, first word and number of windows; of packed strings, then of judged ones
+_KINDS = (np.int64, np.int32, np.int32, np.int32) * 2
+
+
 def _blob(arrays: list[np.ndarray], strings: list[bytes]) -> bytes:
     head = np.array([len(strings), *map(len, arrays)], np.int64)
-    parts = [head, np.array([len(s) for s in strings], np.int64), *[a.astype(np.int64) for a in arrays]]
-    return zstandard.compress(b"".join([*(p.tobytes() for p in parts), *strings]), 3)
+    parts = [a.astype(kind) for a, kind in zip(arrays, _KINDS, strict=True)]
+    parts = [head, np.array([len(s) for s in strings], np.int32), *parts]
+    return zstandard.compress(b"".join([*(p.tobytes() for p in parts), *strings]), 6)
 
 
-def _unblob(blob: bytes, arrays: int) -> tuple[list[np.ndarray], list[bytes]]:
+def _unblob(blob: bytes) -> tuple[list[np.ndarray], list[bytes]]:
     raw = zstandard.decompress(blob)
-    n, *sizes = np.frombuffer(raw, np.int64, 1 + arrays).tolist()
-    at = 8 * (1 + arrays)
+    n, *sizes = np.frombuffer(raw, np.int64, 1 + len(_KINDS)).tolist()
+    at = 8 * (1 + len(_KINDS))
     out = []
-    for size in [n, *sizes]:
-        out.append(np.frombuffer(raw, np.int64, size, at))
-        at += 8 * size
-    ends = at + np.cumsum(out[0])
+    for size, kind in zip([n, *sizes], (np.int32, *_KINDS), strict=True):
+        out.append(np.frombuffer(raw, kind, size, at))
+        at += out[-1].nbytes
+    ends = at + np.cumsum(out[0], dtype=np.int64)
     starts = ends - out[0]
     return out[1:], [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
@@ -212,7 +218,7 @@ def _judge(k: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         arrays, strings = [[] for _ in range(8)], []
         for blob in group["blob"]:
-            found, more = _unblob(blob, 8)
+            found, more = _unblob(blob)
             for all_of, a in zip(arrays, found, strict=True):
                 all_of.append(a)
             strings += more
@@ -252,7 +258,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id with a number for null, and a key that tells texts under one doc_id apart."""
     return docs.select(
         F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(_LAST)).alias("doc_id"),
-        F.xxhash64(F.col(f"`{text}`")).alias("key"),
+        F.hash(F.col(f"`{text}`")).alias("key"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
 
@@ -265,7 +271,7 @@ def repeated_ranges(
     buckets = spread(docs, BUCKET_BYTES, 5 * input_bytes(docs))
     hot = hot_minimisers(keyed, buckets, window)
     sent = keyed.mapInArrow(_scatter(buckets, window, hot), "bucket bigint, blob binary")
-    judged = sent.groupBy("bucket").applyInPandas(_judge(window), "doc_id bigint, key bigint, ranges binary")
+    judged = sent.groupBy("bucket").applyInPandas(_judge(window), "doc_id bigint, key int, ranges binary")
     return judged.groupBy("doc_id", "key").agg(F.collect_list("ranges").alias("ranges"))
 
 
@@ -284,11 +290,28 @@ def remove_repeats(
     keyed = carried.withColumns(
         {
             own_id: F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(_LAST)),
-            own_key: F.xxhash64(F.col(f"`{text}`")),
+            own_key: F.hash(F.col(f"`{text}`")),
         }
     )
-    joined = keyed.join(found, [own_id, own_key], "left").drop(own_id, own_key)
     typed = ", ".join(f"`{c}` {'string' if c == text else t}" for c, t in carried.dtypes)
+    wire = ", ".join(f"`{c}` {'binary' if c == text else t}" for c, t in keyed.dtypes)
+
+    def shrink(rows: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        out = {n: rows.column(n) for n in rows.schema.names}
+        out[text] = pa.array([zstandard.compress(t, 3) for t in texts], pa.binary())
+        return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+    # texts cross the shuffle to their ranges compressed
+    joined = each_slice(keyed, shrink, wire, text).join(found, [own_id, own_key], "left").drop(own_id, own_key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = batch.column(text).to_pylist()
+            size = np.cumsum([zstandard.frame_content_size(b) for b in blobs])
+            cut = np.flatnonzero(np.diff(size // SLICE_BYTES)) + 1
+            for a, b in zip([0, *cut], [*cut, batch.num_rows], strict=True):
+                if b > a:
+                    yield step(batch.slice(a, b - a), [zstandard.decompress(x) for x in blobs[a:b]])
 
     def step(rows: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         words = Words(texts)
@@ -313,4 +336,4 @@ def remove_repeats(
             n_removed=pa.array(removed.astype(np.int64)),
         )
 
-    return each_slice(joined, step, f"{typed}, n_words bigint, n_removed bigint", text)
+    return joined.mapInArrow(run, f"{typed}, n_words bigint, n_removed bigint")
