@@ -61,11 +61,13 @@ STANDINS = {
                country, product, contractid, timestamp '2001-01-01 00:00:00' as createdat,
                cast(null as timestamp) as updatedat
         from client_view where contractid % 10 = 0 and clientid % 6 <> 0""",
+    # one in eight requests belongs to the payment of the next one, which has two then
     "redeems": """
         select o_orderkey as indice, o_custkey as clientid,
                case when o_orderkey % 13 = 0 then null else o_orderdate end as fcorreo,
                case o_orderstatus when 'F' then 3 when 'O' then 1 else 0 end as status_r,
-               case when o_orderkey % 5 = 0 then null else o_orderkey end as pagoid,
+               case when o_orderkey % 5 = 0 then null
+                    when o_orderkey % 8 = 3 then o_orderkey + 1 else o_orderkey end as pagoid,
                cast(o_totalprice as decimal(11,2)) as monto,
                case when o_orderkey % 3 = 0 then 'MXN' else 'USD' end as currency,
                cast(1 + o_orderkey % 6 + case when o_custkey % 10 = 0 then 1 else 0 end as int) as redeem_no,

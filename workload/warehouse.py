@@ -80,6 +80,11 @@ def _(t):
 # --- event facts
 
 DIMS = "clients c left join developers d on d.iddev = c.company"
+# a payment takes its highest request; of known clients only, where the client is joined inside
+LAST_REQUEST = """(select * from (select *, row_number() over (partition by pagoid order by indice desc) as rn
+    from redeems where pagoid is not null) o where rn = 1)"""
+LAST_KNOWN = """(select * from (select o.*, row_number() over (partition by pagoid order by indice desc) as rn
+    from redeems o join clients k on k.clientid = o.clientid where pagoid is not null) o where rn = 1)"""
 
 
 def _fact_sql(kind: str, level: int, on: str, key: str, status: str, tables: str, where: str) -> str:
@@ -116,7 +121,7 @@ def _(t):
     _fact_spec("contador", "status_p"),
     _fact_sql(
         "Autorizados", 2, "a.f_authorized", "contador", "status_p",
-        """payments a join redeems r on r.pagoid = a.indice join clients c on c.clientid = r.clientid
+        f"""payments a join {LAST_KNOWN} r on r.pagoid = a.indice join clients c on c.clientid = r.clientid
            left join developers d on d.iddev = c.company""",
         "a.f_authorized is not null",
     ),
@@ -130,7 +135,7 @@ def _(t):
     _fact_spec("pagoid", "status_p"),
     _fact_sql(
         "Pagados", 3, "coalesce(a.f_excel, a.f_pago)", "pagoid", "status_p",
-        """payments a join redeems r on r.pagoid = a.indice left join clients c on c.clientid = r.clientid
+        f"""payments a join {LAST_REQUEST} r on r.pagoid = a.indice left join clients c on c.clientid = r.clientid
            left join developers d on d.iddev = c.company""",
         "a.status_p >= 3 and coalesce(a.f_excel, a.f_pago) is not null",
     ),
@@ -193,16 +198,19 @@ PENDING = {
 
 @query(
     "pending_row_wm",
-    "task indice:i",
-    " union all ".join(f"select '{k}' as task, indice from ({v}) p_{k}" for k, v in PENDING.items()),
+    "task indice:i requests:i",
+    " union all ".join(
+        f"select '{k}' as task, indice, count(*) as requests from ({v}) p_{k} group by indice"
+        for k, v in PENDING.items()
+    ),
 )
 def _(t):
     found = {
-        "requested": _pending_requested(t),
+        "requested": _pending_requested(t).withColumn("requests", F.lit(1)),
         "authorized": _pending_authorized(t),
         "paid": _pending_paid(t),
     }
-    rows = [df.select(F.lit(k).alias("task"), "indice") for k, df in found.items()]
+    rows = [df.select(F.lit(k).alias("task"), "indice", "requests") for k, df in found.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
