@@ -63,12 +63,18 @@ def with_columns(rows: pa.RecordBatch, drop: tuple[str, ...] = (), **columns) ->
     return pa.RecordBatch.from_arrays(arrays, names=[*names, *columns])
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of what ``df`` reads; decides partition counts only."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(docs: DataFrame, text: str = "text") -> int:
+    """About the size of the documents; decides partition counts only.
 
+    Spark's own estimate, where it has one, else the size of the texts.
+    """
+    known = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known < 1 << 50:
+        return known
+    return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
 
-def spread(df: DataFrame, bytes_each: int = 64 << 20, size: int | None = None) -> int:
+
+def spread(docs: DataFrame, size: int, bytes_each: int) -> int:
     """A partition count: Spark's setting, and more where partitions would get too large."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-(size or input_bytes(df)) // bytes_each))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-size // bytes_each))

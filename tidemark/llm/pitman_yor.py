@@ -44,6 +44,7 @@ LEVEL1, LEVEL2 = 32, 1024
 BURN, KEEP = 2, 3
 EXACT = 64  # customers seated one by one; then in groups of a 32nd of those seated
 STRENGTH = 1.0
+ADDERS = 8  # rows of totals that come to the driver
 _END = mix(np.array([0xE0D], np.uint64))[0]
 
 
@@ -275,11 +276,19 @@ def _sweeps(bucket: Bucket, sums: np.ndarray, discounts: list[float], n: int, se
 
 def _summed(state: DataFrame) -> np.ndarray:
     """The buckets' totals added up: as many numbers as there are restaurants, and a few."""
-    rows = state.select(F.posexplode("totals").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-    out = np.zeros(2 * LEVEL2 + 2 * LEVEL1 + 10)
-    for r in rows:
-        out[r["i"]] = r["x"]
-    return out
+    zero = np.zeros(2 * LEVEL2 + 2 * LEVEL1 + 10)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = zero.copy()
+        for batch in batches:
+            for x in batch.column("totals"):
+                out += x.values.to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array([out.tolist()])], names=["totals"])
+
+    # a row per task, then a row for each of a few tasks
+    parts = state.select("totals").mapInArrow(add, "totals array<double>")
+    few = parts.repartition(ADDERS).mapInArrow(add, "totals array<double>")
+    return sum((np.array(r["totals"]) for r in few.collect()), zero)
 
 
 _STATE = "bucket bigint, blob binary, totals array<double>"
@@ -362,7 +371,7 @@ def score(
         held.alias("held"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    buckets = spread(docs, BUCKET_BYTES, input_bytes(docs))
+    buckets = spread(docs, input_bytes(docs, text), BUCKET_BYTES)
     chunks = freeze(own.mapInArrow(_chunks(buckets), "chunk bigint, bucket bigint, blob binary"))
     asked = chunks.where("bucket >= 0")
     state = freeze(asked.groupBy("bucket").applyInPandas(_begin, _STATE))

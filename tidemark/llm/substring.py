@@ -268,7 +268,7 @@ def repeated_ranges(
 ) -> DataFrame:
     """Per document with repeated windows: doc_id, key, and lists of (first word, windows) pairs."""
     keyed = _keyed(docs, doc_id, text)
-    buckets = spread(docs, BUCKET_BYTES, 5 * input_bytes(docs))
+    buckets = spread(docs, 5 * input_bytes(docs, text), BUCKET_BYTES)
     hot = hot_minimisers(keyed, buckets, window)
     sent = keyed.mapInArrow(_scatter(buckets, window, hot), "bucket bigint, blob binary")
     judged = sent.groupBy("bucket").applyInPandas(_judge(window), "doc_id bigint, key int, ranges binary")
