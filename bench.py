@@ -17,9 +17,10 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from datetime import datetime  # noqa: E402
+from datetime import datetime, timedelta  # noqa: E402
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.plans import daily, sync  # noqa: E402
 from tidemark.plans.collections import Sources  # noqa: E402
@@ -78,7 +79,11 @@ def timed(run: Callable[[], object]) -> float:
 
 
 def jobs(spark: SparkSession, folder: str) -> dict[str, Callable[[], object]]:
-    """Jobs that write parquet, each run into a table of its own."""
+    """Jobs that write parquet.
+
+    ``write_*`` are first loads, each run into a table of its own. ``again_*`` load one table
+    once, when they warm up, and then what has changed: 1 % of the source between runs.
+    """
     t = Tables(spark, folder)
     s = Sources(t.cardcollec, t.tickets, t.ticket_items, t.clients, t.developers)
     base = tempfile.mkdtemp(prefix="bench-")
@@ -87,7 +92,42 @@ def jobs(spark: SparkSession, folder: str) -> dict[str, Callable[[], object]]:
     def new() -> str:
         return f"{base}/t{next(n)}"
 
+    steps = {name: iter(range(10_000)) for name in ("requests", "collections", "clients")}
+    kept = {name: new() for name in steps}
+
+    def some(key: str, step: int):
+        """The rows that are another 1 % in each step; none in the first one."""
+        return (F.col(key) % 100 == step) & F.lit(step > 0)
+
+    def requests() -> None:
+        hit = some("indice", k := next(steps["requests"]))
+        moved = t.redeems.withColumns(
+            {
+                "monto": F.when(hit, F.col("monto") + k).otherwise(F.col("monto")).cast("decimal(11,2)"),
+                "updateat": F.when(hit, F.lit(AT + timedelta(days=k))).otherwise(F.col("updateat")).cast("timestamp_ntz"),
+            }
+        )
+        daily.sync_requested(kept["requests"], moved, t.clients, t.developers, AT)
+
+    def collections() -> None:
+        hit = some("indice", k := next(steps["collections"]))
+        monto = F.when(hit, F.col("monto") + k).otherwise(F.col("monto")).cast("decimal(18,6)")
+        moved = s._replace(cardcollec=t.cardcollec.withColumn("monto", monto))
+        if k == 0:
+            daily.load_collections(kept["collections"], moved, t.colleclog, AT, 199501, 200112)
+        else:
+            daily.load_collections(kept["collections"], moved, t.colleclog, AT, 200005)
+
+    top = t.client_view.agg(F.max("clientid")).first()[0]
+
+    def clients() -> None:
+        share = 0.9 + 0.01 * next(steps["clients"])
+        sync.append_load(t.client_view.where(F.col("clientid") <= int(top * share)), kept["clients"], "clientid", AT)
+
     return {
+        "again_requested_sync": requests,
+        "again_collections_month": collections,
+        "again_client_append": clients,
         "write_phone_refresh": lambda: sync.refresh_table(t.phones, new(), AT),
         "write_client_append": lambda: sync.append_load(t.client_view, new(), "clientid", AT, 1),
         "write_requested_sync": lambda: daily.sync_requested(
