@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.llm.frames import each_slice, plain
 from tidemark.llm.text import Words
-from tidemark.llm.tokens import default_vocabulary, ids
+from tidemark.llm.tokens import count, default_vocabulary
 from tidemark.sources import snapshots
 
 KEYS = ("source", "lang", "tokenizer")
@@ -47,7 +47,7 @@ def counts(docs: DataFrame, vocabularies: dict[str, str | None], **names: str) -
         keys = list(zip(rows.column("source").to_pylist(), rows.column("lang").to_pylist(), strict=True))
         sums: dict[tuple, list[int]] = defaultdict(lambda: [0, 0])
         for version, path in vocabularies.items():
-            sizes = Words(texts).counts if path is None else [len(ids(t, path)) for t in texts]
+            sizes = Words(texts).counts if path is None else [count(t, path) for t in texts]
             for key, n in zip(keys, np.asarray(sizes).tolist(), strict=True):
                 total = sums[(*key, version)]
                 total[0] += 1

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import plain
 from tidemark.llm.packing import tokens
 from tidemark.llm.text import mix, slices
-from tidemark.llm.tokens import default_vocabulary
+from tidemark.llm.tokens import count, default_vocabulary
 
 LENGTH = 256
 ROWS = 65_536
@@ -67,7 +67,7 @@ def _sizes(vocabulary: str, length: int):
         for batch in batches:
             for rows, texts in slices(batch):
                 for doc, t in zip(rows.column("doc_id").to_pylist(), texts, strict=True):
-                    n += -(-len(tokens(t, vocabulary)) // length)
+                    n += -(-(count(t, vocabulary) + 1) // length)
                     check = zlib.crc32(t, zlib.crc32(str(doc).encode(), check))
         yield pa.RecordBatch.from_pydict(
             {"part": [TaskContext.get().partitionId()], "n": [n], "check": [check]}

@@ -8,6 +8,7 @@ merge ranks for ``tiktoken``, which gives the same ids in less than half the tim
 from __future__ import annotations
 
 import json
+from array import array
 
 import numpy as np
 import tiktoken
@@ -51,11 +52,18 @@ def load(path: str) -> tiktoken.Encoding:
 _encodings: dict[str, tiktoken.Encoding] = {}
 
 
-def ids(text: bytes, path: str) -> np.ndarray:
-    """The ids of a text as little-endian unsigned 32-bit integers.
-
-    The file at ``path`` is read once in a process.
-    """
+def _listed(text: bytes, path: str) -> list[int]:
+    """The file at ``path`` is read once in a process."""
     if path not in _encodings:
         _encodings[path] = load(path)
-    return np.array(_encodings[path].encode_ordinary(text.decode()), "<u4")
+    return _encodings[path].encode_ordinary(text.decode())
+
+
+def ids(text: bytes, path: str) -> np.ndarray:
+    """The ids of a text as little-endian unsigned 32-bit integers."""
+    return np.frombuffer(array("I", _listed(text, path)), np.uint32).astype("<u4", copy=False)
+
+
+def count(text: bytes, path: str) -> int:
+    """The number of ids of a text."""
+    return len(_listed(text, path))
