@@ -26,6 +26,7 @@ from tidemark.llm.tokens import default_vocabulary, ids
 
 CAPACITY = 2048
 END = 0
+FIRST = 20_000
 ITEMS = 400_000
 MERGE = 8  # partitions that meet in one of the next round
 NEARLY_FULL = 1.0  # a bin filled to this share of the capacity is emitted at once
@@ -156,10 +157,13 @@ _BIN = (
 )
 
 
-def pack(found: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY_FULL, items: int = ITEMS) -> DataFrame:
+def pack(
+    found: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY_FULL, first: int = FIRST, items: int = ITEMS
+) -> DataFrame:
     """Pieces with the sequence each is in and its place there.
 
-    ``found`` are pieces as :func:`pieces` gives them, none longer than ``capacity``.
+    ``found`` are pieces as :func:`pieces` gives them, none longer than ``capacity``. A task
+    of the first round gets about ``first`` of them.
     Sequence numbers are any different numbers. An empty table gives an empty one.
     """
     found = freeze(found)
@@ -169,10 +173,9 @@ def pack(found: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY
     done = [bins.where(F.col("load") >= nearly)]
     left = bins.where(F.col("load") < nearly)
     n = found.count()
-    parts = max(1, -(-n // items))
-    rounds = [parts]
-    while rounds[0] < found.rdd.getNumPartitions():
-        rounds.insert(0, rounds[0] * MERGE)
+    rounds = [max(1, -(-n // items))]
+    while rounds[0] * first < n:
+        rounds.insert(0, min(rounds[0] * MERGE, -(-n // first)))
     for k, parts in enumerate(rounds):
         key = F.xxhash64(F.col("pieces")[0]["row"], F.col("pieces")[0]["piece"], F.lit(k))
         packed = freeze(left.repartition(parts, key).mapInArrow(_pack(capacity, nearly), f"{_BIN}, open boolean"))
