@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import each_slice, free_names, with_columns
-from tidemark.llm.text import Words
+from tidemark.llm.text import Words, mix
 
 LABELLED = 6000
 UNLABELLED = 4000
@@ -37,7 +37,9 @@ ROUNDS = 3
 SURE = 0.97
 ADDED = 0.05  # share of the unlabelled pages that a view may label in a round, per class
 HELD_BACK = 4  # one labelled page in so many calibrates
-TEXT_BITS, META_BITS = 18, 12
+TOXIC = 0.3  # a page at least this likely to be toxic goes
+BEGINNINGS = (4, 6, 8)  # bytes of a longer word that are a feature too
+TEXT_BITS, META_BITS = 19, 12
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[97:123] = 1
@@ -70,9 +72,17 @@ def _bags(page: np.ndarray, feature: np.ndarray, pages: int, bits: int) -> Bags:
 
 
 def text_view(texts: list[bytes]) -> Bags:
-    """The words, as runs of letters in lower case, hashed."""
+    """The words, as runs of letters in lower case, and how longer ones begin, hashed."""
     words = Words([t.translate(_PLAIN) for t in texts])
-    return _bags(words.docs(), words.hashes() >> np.uint64(64 - TEXT_BITS), len(texts), TEXT_BITS)
+    doc, size = words.docs(), words.end - words.start
+    head, _ = words.ends()
+    docs, hashes = [doc], [words.hashes()]
+    for n in BEGINNINGS:
+        longer = size > n
+        docs.append(doc[longer])
+        hashes.append(mix((head[longer] & np.uint64((1 << 8 * n) - 1)) ^ mix(np.array([n], np.uint64))))
+    feature = np.concatenate(hashes) >> np.uint64(64 - TEXT_BITS)
+    return _bags(np.concatenate(docs), feature, len(texts), TEXT_BITS)
 
 
 def meta_view(texts: list[bytes], names: list[list[str | None]]) -> Bags:
@@ -115,8 +125,11 @@ class Linear:
     bias: float = 0.0
 
     def logits(self, bags: Bags) -> np.ndarray:
-        sums = np.concatenate(([0.0], np.cumsum(self.weights[bags.features], dtype=np.float64)))
-        return self.bias + np.diff(sums[bags.first])
+        out = np.full(len(bags.first) - 1, self.bias)
+        full = np.flatnonzero(np.diff(bags.first))
+        if len(full):
+            out[full] += np.add.reduceat(self.weights[bags.features], bags.first[full])
+        return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -126,9 +139,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def fit(bags: Bags, y: np.ndarray, bits: int, steps: int = 80, decay: float = 2e-4) -> Linear:
     """Logistic regression on features scaled by their log odds ratio; features of one page are left out."""
     size = 1 << bits
-    of = bags.pages()
-    good = np.bincount(bags.features, y[of], size)
     seen = np.bincount(bags.features, minlength=size)
+    common = seen[bags.features] > 1
+    first = np.concatenate(([0], np.cumsum(common)))[bags.first]
+    bags = Bags(bags.features[common], first)
+    per_page = np.diff(first)
+    good = np.bincount(bags.features, np.repeat(y.astype(np.float32), per_page), size)
     p = (good + 0.5) / (y.sum() + 1)
     q = (seen - good + 0.5) / (len(y) - y.sum() + 1)
     scale = np.where(seen > 1, np.log(p / q), 0.0)
@@ -136,8 +152,9 @@ def fit(bags: Bags, y: np.ndarray, bits: int, steps: int = 80, decay: float = 2e
     rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     bias, mb, vb = np.log(rate / (1 - rate)), 0.0, 0.0
     for t in range(1, steps + 1):  # Adam on the full batch
-        error = sigmoid(Linear(w * scale, bias).logits(bags)) - y
-        g = np.bincount(bags.features, error[of], size) * scale / len(y) + decay * w
+        error = sigmoid(Linear((w * scale).astype(np.float32), bias).logits(bags)) - y
+        spread = np.repeat(error.astype(np.float32), per_page)
+        g = np.bincount(bags.features, spread, size) * scale / len(y) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         gb = error.mean()
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
@@ -271,6 +288,7 @@ def train(
     for name in ("words", "meta"):
         sizes = [len(x) // 4 for x in found[name]]
         bags.append(Bags(np.frombuffer(b"".join(found[name]), np.int32), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)))
+    found = found.drop(columns=["words", "meta"])  # the driver needs them once
     ids = found["doc_id"].fillna(-1).to_numpy(np.int64)
     held = np.array([xxhash.xxh64_intdigest(str(i)) % HELD_BACK == 0 for i in ids.tolist()], bool)
     return {
@@ -290,7 +308,7 @@ def score(docs: DataFrame, models: dict[str, CoTrained], keep_text: bool = True)
         both = _views(texts, rows, ("source", "lang"))
         good, bad = (models[t].probability(both) for t in ("quality", "toxic"))
         return with_columns(
-            rows, drop, p_quality=pa.array(good), p_toxic=pa.array(bad), kept=pa.array((good >= 0.5) & (bad < 0.5))
+            rows, drop, p_quality=pa.array(good), p_toxic=pa.array(bad), kept=pa.array((good >= 0.5) & (bad < TOXIC))
         )
 
     return each_slice(carried, step, f"{typed}p_quality double, p_toxic double, kept boolean")
@@ -309,7 +327,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def step(rows: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         both = _views(texts, rows, ("source", "lang"))
-        fine = (models["quality"].probability(both) >= 0.5) & (models["toxic"].probability(both) < 0.5)
+        fine = (models["quality"].probability(both) >= 0.5) & (models["toxic"].probability(both) < TOXIC)
         return with_columns(rows, **{mark: pa.array(fine)})
 
     return each_slice(docs, step, f"{typed}`{mark}` boolean").where(F.col(mark)).drop(mark)
