@@ -60,6 +60,9 @@ def sync_by_month(
         publish(rows, root, by, base=seen.commit)
         table = current(rows.sparkSession, root, by)
         return [] if table is None else sorted(_months(table, by))
+    unknown = [c for c in rows.columns if c not in table.columns]
+    if unknown:  # it would be lost without a word
+        raise ValueError(f"the table has no column {', '.join(unknown)}; add it first")
     rows = frozen(rows)
     if rows.isEmpty():
         return []
