@@ -13,10 +13,11 @@ Candidates, first round: each bucket's smallest member against all others, so a
 size gives fewer pairs than it has members. Pairs whose signatures agree well enough
 (the margin has the same tiny chance of missing a link) are confirmed on the words of the
 texts, and components are formed. Second round: a bucket whose members are not all in one
-component yet may hide links between those that the first round didn't compare. These
-buckets are compared in blocks, across components only, by signatures; pairs that agree
-are confirmed like the others. So no link between different texts is lost, and pairs that
-can no longer change a component are never made.
+component yet may hide links between those that were not compared. It is compared in blocks,
+across components only: pairs that agree by signature are confirmed inside the block's
+task, which has the texts, and only links that join something new leave it. So no link
+between different texts is lost, no pair is a row that is not likely a link, and pairs
+that can no longer change a component are not looked at.
 
 Null or empty texts have an empty set and are linked with nothing. A null doc_id is no
 component's name unless no member has one. Repeated rows are alike in all results.
@@ -29,6 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ SHINGLE = 5
 PERCENT = 80
 HASHES = 128
 MISS = 1e-6
-BLOCK = 2000
+BLOCK = 500
 _NO_ID = 2**63 - 1
 
 
@@ -135,7 +137,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, k: int, hashes: int) -> DataF
 
 
 def _buckets(classes: DataFrame, count: int, rows: int) -> DataFrame:
-    """node and bucket of each class, one row per band."""
+    """node, band and bucket of each class, one row per band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,11 +152,15 @@ def _buckets(classes: DataFrame, count: int, rows: int) -> DataFrame:
                     key = mix(key + sign[:, b * rows + r].astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
                 keys[:, b] = key
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(node, count)), pa.array(keys.ravel().view(np.int64))],
-                names=["node", "bucket"],
+                [
+                    pa.array(np.repeat(node, count)),
+                    pa.array(np.tile(np.arange(count, dtype=np.int32), len(node))),
+                    pa.array(keys.ravel().view(np.int64)),
+                ],
+                names=["node", "band", "bucket"],
             )
 
-    return classes.select("node", "sign").mapInArrow(run, "node bigint, bucket bigint")
+    return classes.select("node", "sign").mapInArrow(run, "node bigint, band int, bucket bigint")
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
@@ -228,32 +234,57 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def _across(least: int):
-    """Pairs of two blocks of a bucket that are in different components and agree by signature."""
+def _matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def _links_across(least: int, percent: int, k: int, count: int, rows: int):
+    """Links between components among two blocks of a bucket, found on full sets in the task.
+
+    Of the pairs that agree by signature, those that share an earlier band are left to it.
+    Links that join nothing new within the blocks are not needed and not given.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["bucket", "low", "high"]):
             node, comp, own = (group.column(c).to_numpy() for c in ("node", "comp", "own"))
-            sign = np.frombuffer(b"".join(group.column("small").to_pylist()), np.uint8).reshape(len(node), -1)
+            band = group.column("band")[0].as_py()
+            sign = _matrix(group.column("sign"), np.uint32)
             same_block = group.column("low")[0] == group.column("high")[0]
-            for i in range(len(node)):  # one row of the block against all others at a time
-                to = comp != comp[i]
-                to &= (node > node[i]) if same_block else (own > own[i])
+            value, first = shingles([zstandard.decompress(t) for t in group.column("packed").to_pylist()], k)
+            size = np.diff(first)
+            comp, found = comp.copy(), []
+            for i in range(len(node)):
+                to = (np.arange(len(node)) > i) & (comp != comp[i]) & (same_block | (own != own[i]))
+                to &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
                 others = np.flatnonzero(to)
-                others = others[(sign[others] == sign[i]).sum(axis=1) >= least]
-                if len(others):
-                    pair = np.sort(np.stack((np.full(len(others), node[i]), node[others]), 1), axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"]
-                    )
+                same = sign[others] == sign[i]
+                earlier = same[:, : count * rows].reshape(-1, count, rows).all(axis=2)[:, :band].any(axis=1)
+                others = others[(same.sum(axis=1) >= least) & ~earlier]
+                if not len(others):
+                    continue
+                mine = value[first[i] : first[i + 1]]
+                stop = np.cumsum(size[others])
+                at = np.repeat(first[others] - (stop - size[others]), size[others]) + np.arange(stop[-1])
+                theirs = value[at]
+                place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                shared = np.add.reduceat((mine[place] == theirs).astype(np.int64), stop - size[others])
+                linked = others[100 * shared >= percent * (size[i] + size[others] - shared)]
+                for j in linked.tolist():
+                    if comp[j] != comp[i]:
+                        comp[comp == comp[j]] = comp[i]
+                        found.append(sorted((node[i], node[j])))
+            if found:
+                pair = np.array(found)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
 
     return run
 
 
-def _second_round(buckets: DataFrame, classes: DataFrame, roots: DataFrame, least: int, block: int) -> DataFrame:
-    """Candidates of buckets of three and more that still hold several components."""
+def _open_buckets(buckets: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """Members of buckets of three and more that hold several components, dealt out to pairs of blocks."""
     labelled = buckets.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-    labelled = labelled.select("bucket", "node", F.coalesce("root", "node").alias("comp"))
+    labelled = labelled.select("bucket", "band", "node", F.coalesce("root", "node").alias("comp"))
     mixed = (
         labelled.groupBy("bucket")
         .agg(F.count("*").alias("n"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
@@ -261,18 +292,25 @@ def _second_round(buckets: DataFrame, classes: DataFrame, roots: DataFrame, leas
         .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = (
-        labelled.join(mixed, "bucket")
-        .join(classes.select("node", "small"), "node")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket", "node", "comp", "small", "own",
-            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        )
+    members = labelled.join(mixed, "bucket").withColumn("own", own)
+    return members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", "band", "node", "comp", "own",
+        F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
     )
-    dealt = members.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return dealt.mapInArrow(_across(least), "a bigint, b bigint").distinct()
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """Texts compressed, since each goes to all open buckets that its document is in."""
+
+    def step(rows: pa.RecordBatch, found: list[bytes]) -> pa.RecordBatch:
+        return with_columns(rows, ("text",), packed=pa.array([zstandard.compress(t, 3) for t in found], pa.binary()))
+
+    return each_slice(texts, step, "node bigint, packed binary")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    keys = ("bucket", "low", "high")
+    return members.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def classes_and_links(
@@ -300,7 +338,10 @@ def classes_and_links(
     first = freeze(_agreeing(stars, classes, least))
 
     def texts(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        wanted = nodes.select("node").distinct()
         ids = classes.select("node", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "key").join(wanted, "node")
         own = docs.select(
             F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(_NO_ID)).alias("id"),
@@ -310,10 +351,15 @@ def classes_and_links(
         return own.join(ids, ["id", "key"]).select("node", "text")
 
     links = freeze(_confirmed(first, texts(first), percent, k))
+
     roots = components(links.toDF("u", "v"))
-    second = _second_round(buckets, classes, roots, least, block)
-    second = freeze(second.join(first, ["a", "b"], "left_anti"))
-    links = freeze(links.unionByName(_confirmed(second, texts(second), percent, k)))
+    open_ = freeze(_open_buckets(buckets, roots, block))
+    whole = open_.join(classes.select("node", "sign"), "node").join(_packed(texts_of(open_)), "node")
+    rest = _dealt(whole).mapInArrow(
+        _links_across(least, percent, k, *bands(percent, hashes)), "a bigint, b bigint"
+    )
+    # the components so far are stars, which stand for the links that made them
+    links = roots.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(freeze(rest))
     return sets, classes, links
 
 
