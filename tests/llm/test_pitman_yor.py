@@ -100,3 +100,76 @@ def test_untrained_and_empty(spark, none):
         assert r["held_out"] and r["n_known"] == 0 and r["train_tokens"] == 0
         assert r["score"] == pytest.approx(0) and r["base_score"] == pytest.approx(0)  # one unknown word is all there is
     assert py.score(none).collect() == []
+
+
+def _pairs(texts):
+    """All pairs of some texts in one bucket, with exact totals."""
+    token, ending, counts = py.tokens([t.encode() for t in texts])
+    word, at = np.unique(token, return_inverse=True)
+    context, before = np.unique(py.contexts(token, ending, counts), return_inverse=True)
+    kind, n = np.unique(at * len(context) + before, return_counts=True)
+    per = np.bincount(kind // len(context), minlength=len(word))
+    return py.Pairs(word, per, context[kind % len(context)], n)
+
+
+def test_contexts_are_whole_words():
+    token, ending, counts = py.tokens([b"the cat breathe dog the end", b"cat"])
+    found = py.contexts(token, ending, counts)
+    assert ending[1] == ending[3]  # after 'the' and 'breathe'
+    assert found[1] == found[5] and found[1] != found[3]
+    assert found[0] == found[7]  # both begin a text
+
+
+def test_pairs_sum_to_one_over_the_vocabulary():
+    bucket = _pairs(["the cat the dog breathe air lathe cat " * 3, "cat dog", "the air"])
+    bucket.first_seating()
+    for g in py._sweeps(bucket, bucket.totals(), [0.5, 0.6, 0.7], 3, [1]):
+        p3, (p0, p1, p2), up = bucket.probabilities(g), bucket.upper.probabilities(g), bucket.upper
+        d0, d1, d2 = g.discounts
+        unknown = (1 + d0 * g.t0) / (len(bucket.word) + 1) / (1 + g.c0)
+        assert (bucket.t3 <= bucket.c3).all() and (bucket.t3 > 0).all()
+        tables, seen = bucket.own(bucket.t3), bucket.own(bucket.c3)
+        for i, u in enumerate(bucket.contexts):
+            k2 = int(u >> py._CLASS)
+            k1 = k2 // (py.LEVEL2 // py.LEVEL1)
+            back1, back2 = (1 + d1 * g.t1[k1]) / (1 + g.c1[k1]), (1 + d2 * g.t2[k2]) / (1 + g.c2[k2])
+            back3 = (1 + bucket.discount * tables[i]) / (1 + seen[i])
+            one = {w: p for w, p, c in zip(up.of1, p1, up.context1, strict=True) if c == k1}
+            two = {w: p for w, p, c in zip(up.of, p2, up.context, strict=True) if c == k2}
+            three = dict(zip(bucket.of[bucket.at == i], p3[bucket.at == i], strict=True))
+            total = back3 * back2 * back1 * unknown
+            for w in range(len(p0)):
+                total += three.get(w, back3 * two.get(w, back2 * one.get(w, back1 * p0[w])))
+            assert total == pytest.approx(1)
+
+
+def test_a_seen_pair_is_told_from_one_with_the_same_ending(spark):
+    """'breathe' and 'lathe' end alike; only the whole word tells which word follows."""
+    texts = ["breathe alpha", "lathe omega"] * 100
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10][:200]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0][:4]
+    tests = ["breathe alpha", "breathe omega", "lathe alpha", "lathe omega"]
+    docs = spark.createDataFrame([*zip(ids, texts, strict=True), *zip(held, tests, strict=True)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in py.score(docs.repartition(5)).collect()}
+    right, swapped, swapped2, right2 = (got[i] for i in held)
+    assert right > swapped + 0.8 and right2 > swapped2 + 0.8
+
+
+def test_totals_of_contexts_are_those_of_all_buckets():
+    """Buckets that hold a word each find the customers and tables of a context in all of them."""
+    whole = _pairs(["the cat the dog breathe air lathe cat " * 3, "cat dog", "the air"])
+    ends = np.cumsum(whole.per_word)
+    buckets = []
+    for i, (end, n) in enumerate(zip(ends, whole.per_word, strict=True)):
+        k = slice(end - n, end)
+        buckets.append(py.Pairs(whole.word[i : i + 1], whole.per_word[i : i + 1], whole.context[k], whole.c3[k]))
+    for b in [whole, *buckets]:
+        b.first_seating()
+    rows = py.pd.concat([b.shares(i, 3) for i, b in enumerate(buckets)])
+    rows = rows[rows["part"] >= 0]
+    answers = py.pd.concat([py._added(g) for _, g in rows.groupby("part")])
+    want_c, want_t = (dict(zip(whole.contexts, whole.own(x), strict=True)) for x in (whole.c3, whole.t3))
+    for i, b in enumerate(buckets):
+        b.exchanged(answers[answers["bucket"] == i], 3)
+        assert [want_c[u] for u in b.contexts] == b.c_all.tolist()
+        assert [want_t[u] for u in b.contexts] == (b.t_others + b.own(b.t3)).tolist()

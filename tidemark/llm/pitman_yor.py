@@ -1,26 +1,30 @@
 """Language-model scores by a hierarchical Pitman-Yor model sampled by Gibbs.
 
 Tokens are the words of a text after lower-casing A-Z, then one end token. A word's context
-is how the word before it ends: its last three bytes pick one of 1,024 restaurants, whose
-parents are the 32 restaurants of the last byte, which share the restaurant of all words, whose
-parent is uniform over the training vocabulary and one unknown word. A token that sits down
-at a new table of a restaurant is a customer of its parent.
-
-Number of restaurants and their totals are fixed in size; what they serve grows with the
-corpus. So everything about a word (its counts and tables in all contexts) lives in one bucket
-by the word's hash, and buckets only exchange the totals of the 1,057 restaurants.
-
-Steps: tasks count (word, context) pairs of their documents, all of them, chunk by chunk. A
-bucket adds up the chunks' counts and seats all customers; then it reseats them word by word
-and context by context, each given all other seatings, for ``BURN`` sweeps and, with totals
-exchanged in between, ``KEEP`` more, whose predictive probabilities are averaged. It answers
-each chunk with the probabilities of the pairs that the chunk holds, and the chunk's
-documents add theirs up. A frequent word costs a bucket one entry per chunk and context, not
-one per occurrence.
-
-Words are told apart by 64-bit hashes. Null texts are empty and score their end token. A
-document with a null doc_id trains and is not held out; repeated rows train and score each
-time. Without training tokens all probabilities are those of the base distribution.
+is the whole word before it, which is a restaurant of its own. Its parent is one of 1,024
+restaurants of how words end, picked by the last three bytes; their parents are the 32
+restaurants of the last byte, which share the restaurant of all words, whose parent is
+uniform over the training vocabulary and one unknown word. A token that sits down at a new
+table of a restaurant is a customer of its parent.
+
+Everything about a word (its counts and tables in all contexts) lives in one bucket by the
+word's hash. Buckets exchange the totals of the restaurants: of the 1,057 of endings as a sum
+on the driver, of the words before by a shuffle, where a part by the context's hash adds up
+what the buckets hold and tells each bucket the totals of its own contexts.
+
+Steps: tasks count (word, context) pairs of their documents, all of them, chunk by chunk, and
+send them to their buckets once. A bucket adds up the chunks' counts, keeps which pairs each
+chunk has, and seats all customers; then it reseats them word by word and context by context,
+each given all other seatings, for ``BURN`` sweeps and, with totals exchanged in between,
+``KEEP`` more, whose predictive probabilities are averaged. It answers each chunk with the
+probabilities of the pairs that the chunk holds, and the chunk's documents add theirs up. The
+burnt-in seating is not stored: the last step repeats those sweeps from the same seed. A
+frequent word costs a bucket one entry per chunk and context, not one per occurrence.
+
+Words are told apart by 64-bit hashes, contexts by 54 bits of them and the ending's class.
+Null texts are empty and score their end token. A document with a null doc_id trains and is
+not held out; repeated rows train and score each time. Without training tokens all
+probabilities are those of the base distribution.
 """
 
 from __future__ import annotations
@@ -44,13 +48,17 @@ LEVEL1, LEVEL2 = 32, 1024
 BURN, KEEP = 2, 3
 EXACT = 64  # customers seated one by one; then in groups of a 32nd of those seated
 STRENGTH = 1.0
+STATE, SUMS = -2, -1  # rows that are no part of the contexts
 ADDERS = 8  # rows of totals that come to the driver
-_END = mix(np.array([0xE0D], np.uint64))[0]
+_END, _START = mix(np.array([0xE0D, 0x57A], np.uint64))
+_CLASS = np.uint64(54)  # where the class of a context's ending starts in its id
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed bytes; the first bytes of all numbers, then the second ones, and so on."""
     head = np.array([len(arrays), *[x for a in arrays for x in (ord(a.dtype.char), len(a))]], np.int64)
-    return zstandard.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays), 3)
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.compress(head.tobytes() + b"".join(planes), 3)
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
@@ -59,11 +67,18 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     head = np.frombuffer(raw, np.int64, 2 * n, 8)
     at, out = 8 * (1 + 2 * n), []
     for kind, size in head.reshape(-1, 2).tolist():
-        out.append(np.frombuffer(raw, np.dtype(chr(kind)), size, at))
-        at += out[-1].nbytes
+        kind = np.dtype(chr(kind))
+        planes = np.frombuffer(raw, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += planes.nbytes
     return out
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences of sorted numbers, which pack better; np.cumsum gives the numbers again."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and context of each token, text by text, and the number of tokens of each text."""
     words = Words(texts, lower=True)
@@ -82,30 +97,40 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, np.insert(context, words.first[:-1], start), counts
 
 
+def contexts(token: np.ndarray, ending: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Each token's context: the hash of the word before it under the class of that word's ending."""
+    before = np.concatenate((token[:1], token[:-1]))
+    before[np.cumsum(counts) - counts] = _START
+    return ending.astype(np.uint64) << _CLASS | before >> (np.uint64(64) - _CLASS)
+
+
+def _dealt(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def _chunks(buckets: int):
     """Rows of a chunk: one with its documents (bucket -1), one with its pairs for each bucket."""
 
     def out(chunk: int, ids: list, held: list, texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-        token, context, counts = tokens(texts)
+        token, ending, counts = tokens(texts)
         word, at = np.unique(token, return_inverse=True)
-        kind, which = np.unique(at * LEVEL2 + context, return_inverse=True)
+        context, before = np.unique(contexts(token, ending, counts), return_inverse=True)
+        kind, which = np.unique(at * len(context) + before, return_inverse=True)
         train = np.repeat(~np.array(held, bool), counts)
         n = np.bincount(which[train], minlength=len(kind))
         doc = np.array([0 if i is None else i for i in ids], np.int64)
         known = np.array([i is not None for i in ids], np.uint8)
-        own = kind // LEVEL2
+        own = kind // len(context)
         yield chunk, -1, _pack(doc, known, np.array(held, np.uint8), counts, which.astype(np.int32), own.astype(np.int32))
-        to = (word >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        word_cut = np.searchsorted(to, np.arange(buckets + 1))
+        word_cut = np.searchsorted(_dealt(word, buckets), np.arange(buckets + 1))
         kind_cut = np.searchsorted(own, word_cut)
-        per_word = np.bincount(own, minlength=len(word))
         for b in range(buckets):
             i, j = word_cut[b : b + 2]
             if i < j:
                 k = slice(*kind_cut[b : b + 2])
-                yield chunk, b, _pack(
-                    word[i:j], per_word[i:j].astype(np.int32), (kind[k] % LEVEL2).astype(np.int16), n[k].astype(np.int32)
-                )
+                few, at = np.unique(kind[k] % len(context), return_inverse=True)
+                key = (own[k] - i) * len(few) + at
+                yield chunk, b, _pack(_steps(word[i:j]), _steps(context[few]), _steps(key), n[k].astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, number = TaskContext.get().partitionId() << 32, 0
@@ -162,7 +187,7 @@ def seat(c: np.ndarray, parent: np.ndarray, others: np.ndarray, d: float, rng: n
 
 
 class Bucket:
-    """All pairs of a bucket's words: contexts, counts and tables on three levels."""
+    """A bucket's words after endings of words: contexts, counts and tables on three levels."""
 
     def __init__(self, word: np.ndarray, per_word: np.ndarray, context: np.ndarray, c2: np.ndarray):
         self.word, self.per_word, self.context, self.c2 = word, per_word, context.astype(np.int64), c2
@@ -175,27 +200,6 @@ class Bucket:
         self.c0_train = np.bincount(self.of, c2, len(word)).astype(np.int64)
         self.t2 = self.t1 = self.t0 = np.zeros(0, np.int64)
 
-    @classmethod
-    def of_chunks(cls, blobs: list[bytes]) -> Bucket:
-        parts = [_unpack(b) for b in blobs]
-        words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        per = np.concatenate([p[1] for p in parts])
-        key = np.repeat(at, per) * LEVEL2 + np.concatenate([p[2] for p in parts]).astype(np.int64)
-        kind, which = np.unique(key, return_inverse=True)
-        n = np.bincount(which, np.concatenate([p[3] for p in parts]), len(kind)).astype(np.int64)
-        per_word = np.bincount(kind // LEVEL2, minlength=len(words))
-        return cls(words, per_word.astype(np.int32), (kind % LEVEL2).astype(np.int16), n)
-
-    def packed(self) -> bytes:
-        return _pack(self.word, self.per_word, self.context.astype(np.int16), self.c2, self.t2, self.t1, self.t0)
-
-    @classmethod
-    def unpacked(cls, blob: bytes) -> Bucket:
-        word, per_word, context, c2, t2, t1, t0 = _unpack(blob)
-        out = cls(word, per_word, context, c2)
-        out.t2, out.t1, out.t0 = t2.copy(), t1.copy(), t0.copy()
-        return out
-
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Customers of levels 1 and 0: the tables of the level below."""
         c1 = np.bincount(self.up, self.t2, len(self.key1)).astype(np.int64)
@@ -213,7 +217,7 @@ class Bucket:
         sums = [np.bincount(self.context, x, LEVEL2) for x in (self.c2, self.t2)]
         sums += [np.bincount(self.context1, x, LEVEL1) for x in (c1, self.t1)]
         seen = [[(c == k).sum() for k in (1, 2)] for c in (self.c2, c1, c0)]
-        rest = [c0.sum(), self.t0.sum(), (self.c0_train > 0).sum(), self.c2.sum(), *np.ravel(seen)]
+        rest = [c0.sum(), self.t0.sum(), (self.c0_train > 0).sum(), self.c0_train.sum(), *np.ravel(seen)]
         return np.concatenate([*sums, np.array(rest, float)])
 
     def probabilities(self, g: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,6 +243,115 @@ class Bucket:
         self.t0 = seat(c0, base, g.t0 - self.t0, d0, rng)
 
 
+class Pairs:
+    """All pairs of a bucket's words and the words before them, on top of those words' endings."""
+
+    def __init__(self, word: np.ndarray, per_word: np.ndarray, context: np.ndarray, c3: np.ndarray):
+        self.word, self.per_word, self.context, self.c3 = word, per_word, context, c3
+        self.of = np.repeat(np.arange(len(word)), per_word)
+        key = self.of * LEVEL2 + (context >> _CLASS).astype(np.int64)
+        new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
+        self.up = np.cumsum(new) - 1  # a pair's row on level 2
+        key = key[new]
+        per = np.bincount(key // LEVEL2, minlength=len(word))
+        self.upper = Bucket(word, per, key % LEVEL2, np.zeros(len(key), np.int64))
+        self.upper.c0_train = self.c0_train = np.bincount(self.of, c3, len(word)).astype(np.int64)
+        self.contexts, self.at = np.unique(context, return_inverse=True)
+        self.asked: list[np.ndarray] = []
+        self.chunks = np.zeros(0, np.int64)
+        self.discount = 0.5
+
+    @classmethod
+    def of_chunks(cls, chunks: np.ndarray, blobs: list[bytes]) -> Pairs:
+        parts = [_unpack(b) for b in blobs]
+        word, context, key = ([np.cumsum(p[k]) for p in parts] for k in range(3))
+        words, contexts = np.unique(np.concatenate(word)), np.unique(np.concatenate(context))
+        of = np.concatenate([np.searchsorted(words, w)[k // len(u)] for w, u, k in zip(word, context, key, strict=True)])
+        at = np.concatenate([np.searchsorted(contexts, u)[k % len(u)] for u, k in zip(context, key, strict=True)])
+        kind, which = np.unique(of * len(contexts) + at, return_inverse=True)
+        n = np.bincount(which, np.concatenate([p[3] for p in parts]), len(kind)).astype(np.int64)
+        out = cls(words, np.bincount(kind // len(contexts), minlength=len(words)), contexts[kind % len(contexts)], n)
+        out.chunks, out.asked = chunks, np.split(which, np.cumsum([len(p[3]) for p in parts])[:-1])
+        return out
+
+    def packed(self) -> bytes:
+        """Without the tables."""
+        sizes = np.array([len(a) for a in self.asked], np.int64)
+        key = self.of * len(self.contexts) + self.at
+        asked = np.concatenate([_steps(a) for a in self.asked])
+        return _pack(_steps(self.word), _steps(self.contexts), _steps(key), self.c3, self.chunks, sizes, asked)
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> Pairs:
+        word, contexts, key, c3, chunks, sizes, asked = _unpack(blob)
+        word, contexts, key = np.cumsum(word), np.cumsum(contexts), np.cumsum(key)
+        out = cls(word, np.bincount(key // len(contexts), minlength=len(word)), contexts[key % len(contexts)], c3)
+        out.chunks, out.asked = chunks, [np.cumsum(x) for x in np.split(asked, np.cumsum(sizes)[:-1])]
+        out.first_seating()
+        return out
+
+    def first_seating(self) -> None:
+        self.seated((self.c3 > 0).astype(np.int64))
+        self.upper.first_seating()
+        self.c_all, self.t_others = self.own(self.c3), np.zeros(len(self.contexts))
+
+    def seated(self, t3: np.ndarray) -> None:
+        self.t3 = t3
+        self.upper.c2 = np.bincount(self.up, t3, len(self.upper.context)).astype(np.int64)
+
+    def own(self, x: np.ndarray) -> np.ndarray:
+        """What this bucket's pairs have in each of its contexts."""
+        return np.bincount(self.at, x, len(self.contexts))
+
+    def totals(self) -> np.ndarray:
+        return np.concatenate((self.upper.totals(), [(self.c3 == k).sum() for k in (1, 2)]))
+
+    def shares(self, number: int, parts: int) -> pd.DataFrame:
+        """Rows for each part of the contexts with what this bucket has there; one with the other totals."""
+        to = _dealt(mix(self.contexts), parts)
+        order = np.argsort(to, kind="stable")
+        columns = [x[order] for x in (self.contexts, self.own(self.c3).astype(np.int64), self.own(self.t3).astype(np.int64))]
+        cut = np.searchsorted(to[order], np.arange(parts + 1))
+        full = np.flatnonzero(np.diff(cut))
+        pieces = [[x[cut[r] : cut[r + 1]] for x in columns] for r in full]
+        blobs = [_pack(_steps(u), c, t) for u, c, t in pieces]
+        return pd.DataFrame(
+            {
+                "bucket": number,
+                "part": [SUMS, *full.tolist()],
+                "blob": [b"", *blobs],
+                "totals": [self.totals(), *[None] * len(blobs)],
+            }
+        )
+
+    def exchanged(self, answers: pd.DataFrame, parts: int) -> None:
+        """Take over all buckets' totals of this bucket's contexts."""
+        found = [_unpack(b) for b in answers.sort_values("part")["blob"]]
+        order = np.argsort(_dealt(mix(self.contexts), parts), kind="stable")
+        self.c_all, everyone = np.zeros(len(order)), np.zeros(len(order))
+        self.c_all[order] = np.concatenate([f[0] for f in found])
+        everyone[order] = np.concatenate([f[1] for f in found])
+        self.t_others = everyone - self.own(self.t3)
+
+    def probabilities(self, g: Totals) -> np.ndarray:
+        """Predictive probabilities of the pairs."""
+        d, k = self.discount, self.at
+        tables = (self.t_others + self.own(self.t3))[k]
+        p2 = self.upper.probabilities(g)[2][self.up]
+        return (self.c3 - d * self.t3 + (STRENGTH + d * tables) * p2) / (STRENGTH + self.c_all[k])
+
+    def sweep(self, g: Totals, rng: np.random.Generator) -> None:
+        p2 = self.upper.probabilities(g)[2]
+        others = (self.t_others + self.own(self.t3))[self.at] - self.t3
+        self.seated(seat(self.c3, p2[self.up], others, self.discount, rng))
+        self.upper.sweep(g, rng)
+
+
+def discount(once: float, twice: float) -> float:
+    """Of a level where so many dishes of a restaurant have one customer, and so many have two."""
+    return float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95))
+
+
 class Totals:
     """Sums over all buckets."""
 
@@ -253,7 +366,7 @@ class Totals:
         self.c2, self.t2, self.c1, self.t1 = take(LEVEL2), take(LEVEL2), take(LEVEL1), take(LEVEL1)
         self.c0, self.t0, self.words, self.tokens = (float(x) for x in take(4))
         once = take(6).reshape(3, 2)[::-1]  # level 0 first
-        self.discounts = [float(np.clip(a / max(a + 2 * b, 1), 0.05, 0.95)) for a, b in once]
+        self.discounts = [discount(a, b) for a, b in once]
 
     def moved(self, before: np.ndarray, now: np.ndarray, sums: np.ndarray) -> Totals:
         """These totals after one bucket's own share has changed; discounts stay."""
@@ -262,7 +375,7 @@ class Totals:
         return out
 
 
-def _sweeps(bucket: Bucket, sums: np.ndarray, discounts: list[float], n: int, seed: list[int]) -> Iterator[Totals]:
+def _sweeps(bucket: Bucket | Pairs, sums: np.ndarray, discounts: list[float], n: int, seed: list[int]) -> Iterator[Totals]:
     """Sweeps with the other buckets' totals as they were; yields the totals after each."""
     rng = np.random.default_rng(seed)
     first = bucket.totals()
@@ -276,7 +389,7 @@ def _sweeps(bucket: Bucket, sums: np.ndarray, discounts: list[float], n: int, se
 
 def _summed(state: DataFrame) -> np.ndarray:
     """The buckets' totals added up: as many numbers as there are restaurants, and a few."""
-    zero = np.zeros(2 * LEVEL2 + 2 * LEVEL1 + 10)
+    zero = np.zeros(2 * LEVEL2 + 2 * LEVEL1 + 12)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = zero.copy()
@@ -286,48 +399,76 @@ def _summed(state: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([out.tolist()])], names=["totals"])
 
     # a row per task, then a row for each of a few tasks
-    parts = state.select("totals").mapInArrow(add, "totals array<double>")
+    parts = state.where(f"part = {SUMS}").select("totals").mapInArrow(add, "totals array<double>")
     few = parts.repartition(ADDERS).mapInArrow(add, "totals array<double>")
     return sum((np.array(r["totals"]) for r in few.collect()), zero)
 
 
-_STATE = "bucket bigint, blob binary, totals array<double>"
+_STATE = "bucket bigint, part bigint, blob binary, totals array<double>"
 
 
-def _begin(group: pd.DataFrame) -> pd.DataFrame:
-    bucket = Bucket.of_chunks(group["blob"].tolist())
-    bucket.first_seating()
-    return pd.DataFrame({"bucket": group["bucket"][:1], "blob": [bucket.packed()], "totals": [bucket.totals()]})
+def _begin(parts: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        bucket, number = Pairs.of_chunks(group["chunk"].to_numpy(np.int64), group["blob"].tolist()), int(group["bucket"].iloc[0])
+        bucket.first_seating()
+        state = pd.DataFrame({"bucket": [number], "part": [STATE], "blob": [bucket.packed()], "totals": [None]})
+        return pd.concat((state, bucket.shares(number, parts)), ignore_index=True)
 
+    return run
 
-def _burn(sums: np.ndarray, discounts: list[float], sweeps: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for number, blob in zip(batch["bucket"], batch["blob"], strict=True):
-                bucket = Bucket.unpacked(blob)
-                for _ in _sweeps(bucket, sums, discounts, sweeps, [1, number]):
-                    pass
-                yield pd.DataFrame({"bucket": [number], "blob": [bucket.packed()], "totals": [bucket.totals()]})
+
+def _added(group: pd.DataFrame) -> pd.DataFrame:
+    """All buckets' customers and tables in a part of the contexts, for each bucket in its own order."""
+    found = [_unpack(b) for b in group["blob"]]
+    _, at = np.unique(np.concatenate([np.cumsum(f[0]) for f in found]), return_inverse=True)
+    cut = np.cumsum([len(f[0]) for f in found])[:-1]
+    sums = []
+    for k in (1, 2):
+        total = np.bincount(at, np.concatenate([f[k] for f in found])).astype(np.int64)
+        sums.append(np.split(total[at], cut))
+    return pd.DataFrame(
+        {"bucket": group["bucket"], "part": group["part"], "blob": [_pack(c, t) for c, t in zip(*sums, strict=True)]}
+    )
+
+
+def _exchange(rows: DataFrame, turn: int) -> DataFrame:
+    shares = rows.where("part >= 0").select("bucket", "part", "blob")
+    answers = shares.groupBy("part").applyInPandas(_added, "bucket bigint, part bigint, blob binary")
+    return freeze(answers.withColumn("turn", F.lit(turn)))
+
+
+def _burnt(state: pd.DataFrame, answers: pd.DataFrame, number: int, sums: np.ndarray, sweeps: int, parts: int) -> Pairs:
+    """A bucket after the first sweeps, the same whenever it is asked for."""
+    bucket = Pairs.unpacked(state["blob"].iloc[0])
+    bucket.discount = discount(*sums[-2:])
+    bucket.exchanged(answers[answers["turn"] == 0], parts)
+    for _ in _sweeps(bucket, sums, Totals(sums).discounts, sweeps, [1, number]):
+        pass
+    return bucket
+
+
+def _burn(sums: np.ndarray, sweeps: int, parts: int):
+    def run(key: tuple, state: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return _burnt(state, answers, int(key[0]), sums, sweeps, parts).shares(int(key[0]), parts)
 
     return run
 
 
-def _answer(sums: np.ndarray, discounts: list[float], keep: int):
-    def run(key: tuple, asked: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+def _answer(first: np.ndarray, sums: np.ndarray, burn: int, keep: int, parts: int):
+    def run(key: tuple, state: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         """For each chunk the log probability of each of its pairs, and each of its words' count."""
-        bucket = Bucket.unpacked(state["blob"].iloc[0])
-        total = np.zeros(len(bucket.c2))
-        for g in _sweeps(bucket, sums, discounts, keep, [2, int(key[0])]):
-            total += bucket.probabilities(g)[2]
+        bucket = _burnt(state, answers, int(key[0]), first, burn, parts)
+        bucket.exchanged(answers[answers["turn"] == 1], parts)
+        total = np.zeros(len(bucket.c3))
+        for g in _sweeps(bucket, sums, Totals(first).discounts, keep, [2, int(key[0])]):
+            total += bucket.probabilities(g)
         log = np.log10(total / keep).astype(np.float32)
-        kinds = bucket.of * LEVEL2 + bucket.context
         out = []
-        for blob in asked["blob"]:
-            word, per_word, context, _ = _unpack(blob)
-            at = np.searchsorted(bucket.word, word)
-            found = np.searchsorted(kinds, np.repeat(at, per_word) * LEVEL2 + context.astype(np.int64))
-            out.append(_pack(log[found], bucket.c0_train[at]))
-        return pd.DataFrame({"chunk": asked["chunk"], "bucket": asked["bucket"], "blob": out})
+        for pairs in bucket.asked:
+            of = bucket.of[pairs]
+            words = of[np.concatenate(([True], of[1:] != of[:-1]))]
+            out.append(_pack(log[pairs], bucket.c0_train[words]))
+        return pd.DataFrame({"chunk": bucket.chunks, "bucket": int(key[0]), "blob": out})
 
     return run
 
@@ -373,16 +514,13 @@ def score(
     )
     buckets = spread(docs, input_bytes(docs, text), BUCKET_BYTES)
     chunks = freeze(own.mapInArrow(_chunks(buckets), "chunk bigint, bucket bigint, blob binary"))
-    asked = chunks.where("bucket >= 0")
-    state = freeze(asked.groupBy("bucket").applyInPandas(_begin, _STATE))
-    sums = _summed(state)
-    discounts = Totals(sums).discounts
-    state = freeze(state.mapInPandas(_burn(sums, discounts, burn), _STATE))
-    sums = _summed(state)
-    answers = (
-        asked.groupBy("bucket")
-        .cogroup(state.select("bucket", "blob").groupBy("bucket"))
-        .applyInPandas(_answer(sums, discounts, keep), "chunk bigint, bucket bigint, blob binary")
+    begun = freeze(chunks.where("bucket >= 0").groupBy("bucket").applyInPandas(_begin(buckets), _STATE))
+    state = begun.where(f"part = {STATE}").select("bucket", "blob").groupBy("bucket")
+    first, turns = _summed(begun), _exchange(begun, 0)
+    burnt = freeze(state.cogroup(turns.groupBy("bucket")).applyInPandas(_burn(first, burn, buckets), _STATE))
+    sums, turns = _summed(burnt), turns.unionByName(_exchange(burnt, 1))
+    answers = state.cogroup(turns.groupBy("bucket")).applyInPandas(
+        _answer(first, sums, burn, keep, buckets), "chunk bigint, bucket bigint, blob binary"
     )
     g = Totals(sums)
     found = chunks.where("bucket < 0").unionByName(answers)
