@@ -1,10 +1,12 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 
-from tidemark.llm import rollup
+from tidemark.llm import queries, rollup
 from tidemark.llm.tokens import default_vocabulary
+from tidemark.sources import snapshots
 
 VERSIONS = {"bpe": default_vocabulary(), "words": None}
 
@@ -69,3 +71,33 @@ def test_empty(spark, none, tmp_path):
     assert rollup.committed(spark, table, "b1") and _totals(spark, table) == {}
     with pytest.raises(ValueError):
         rollup.changes()
+
+
+def test_the_query_revises_and_deletes(spark, docs, rows_, tokenizer, tmp_path, monkeypatch):
+    """The registered query covers all documents by each kind of change and still gives a plain recount."""
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    tables, done = [], []
+    folder, commit = queries.new_folder, rollup.commit
+
+    def kept_folder(*args):
+        tables.append(folder(*args))
+        return tables[-1]
+
+    def kept_commit(table, batch, signed):
+        done.append((batch, commit(table, batch, signed)))
+        return done[-1][1]
+
+    monkeypatch.setattr(queries, "new_folder", kept_folder)
+    monkeypatch.setattr(rollup, "commit", kept_commit)
+    found = {tuple(r)[:3]: tuple(r)[3:] for r in queries.op8_token_counts(spark, str(tmp_path)).collect()}
+    names = {rollup.BPE: "bpe", rollup.WORDS: "words"}
+    assert {(*k[:2], names[k[2]]): v for k, v in found.items()} == _plain(rows_, tokenizer)
+    stored = snapshots.current(spark, tables[0], "batch").where("tokenizer = 'words-1'")
+    sums = {r["batch"]: (r["up"], r["down"]) for r in stored.groupBy("batch").agg(
+        F.expr("coalesce(sum(n_docs) filter (where n_docs > 0), 0)").alias("up"),
+        F.expr("coalesce(sum(n_docs) filter (where n_docs < 0), 0)").alias("down"),
+    ).collect()}
+    assert sums["insert"] == (len(rows_), 0)
+    assert sums["revise"][1] < 0 < sums["revise"][0]
+    assert sums["delete"][1] == -sums["again"][0] < 0
+    assert [d for _, d in done] == [True, False] * 4

@@ -46,10 +46,25 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents as one batch of inserts, delivered twice, and the totals after that."""
-    table = new_folder(spark, "token-counts")
-    for _ in range(2):  # the second delivery finds the batch committed
-        rollup.commit(table, "all", rollup.changes(rollup.counts(_documents(spark, folder), rollup.production_versions())))
+    """All documents inserted as they were, then revised; a third deleted and inserted again; and the totals after that.
+
+    What a document was before its revision is made from it: half of its text, of no known
+    language. Each batch is delivered twice; the second delivery finds it committed.
+    """
+    table, docs = new_folder(spark, "token-counts"), _documents(spark, folder)
+    half = (F.char_length("text") / 2).cast("int")
+    before = docs.withColumn("text", F.col("text").substr(F.lit(1), half)).withColumn("lang", F.lit(None).cast("string"))
+    third = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0)
+    old, new, some = (rollup.counts(d, rollup.production_versions()) for d in (before, docs, third))
+    batches = {
+        "insert": rollup.changes(inserted=old),
+        "revise": rollup.changes(revised=(old, new)),
+        "delete": rollup.changes(deleted=some),
+        "again": rollup.changes(inserted=some),
+    }
+    for batch, signed in batches.items():
+        for _ in range(2):
+            rollup.commit(table, batch, signed)
     return rollup.totals(spark, table)
 
 
