@@ -79,3 +79,16 @@ def test_bags_take(seed):
     some = bags[0].take(np.array([3, 3, 10]))
     assert some.first.tolist()[0] == 0 and len(some.features) == some.first[-1]
     assert (some.features[: some.first[1]] == some.features[some.first[1] : some.first[2]]).all()
+
+
+@pytest.mark.parametrize("ids", ["own", "null"])
+def test_what_comes_to_the_driver_is_bounded(spark, monkeypatch, ids):
+    """Labels of other pages do not count, and pages without an id do not come as one block."""
+    sizes = []
+    monkeypatch.setattr(co, "co_train", lambda bags, y, held, default: sizes.append(len(y)) or co.CoTrained(None, 0.5))
+    docs = spark.range(2000).selectExpr(
+        "id as doc_id" if ids == "own" else "cast(null as bigint) as doc_id", "concat('word', id % 9) as text", "'s' as source", "'en' as lang"
+    )
+    labels = spark.range(5000, 8000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    co.train(docs, labels, labelled=50, unlabelled=100)
+    assert 50 < sizes[0] < 200

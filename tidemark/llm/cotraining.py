@@ -9,7 +9,8 @@ the calibrated views are combined. This is done for two targets: ``quality`` (1
 and ``toxic`` (1 is bad); a page stays when it is likely good and likely not toxic.
 
 The fit uses at most about ``LABELLED`` labelled and ``UNLABELLED`` other pages, picked by a
-hash of doc_id, so what comes to the driver is bounded. The models have a fixed size;
+hash of doc_id or, without one, of the row, so what comes to the driver is bounded as long as
+no doc_id is that of very many rows. The models have a fixed size;
 all documents are scored where they are read.
 
 Null text is an empty text, null source or language a value of its own. Labels that are
@@ -257,12 +258,16 @@ def train(
         .groupBy("id")
         .agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
     )
-    n_labels, n_docs = judged.count(), docs.count()
+    # rows, not labels: many labels may be of pages that are not here
+    met = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).join(judged, F.col("doc_id") == F.col("id"), "left")
+    n_labels, n_docs = met.agg(F.count("id"), F.count(F.lit(1))).first()
     rest = max(n_docs - n_labels, 1)
     parts = 1 << 40
     low = int(parts * min(1.0, labelled / max(n_labels, 1)))
     other = int(parts * min(1.0, unlabelled / rest))
-    hashed = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.lit(29)), F.lit(parts))
+    # pages without id are told apart by row, or they would come all or none
+    row = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.monotonically_increasing_id(), F.lit(31)))
+    hashed = F.pmod(F.xxhash64(row, F.lit(29)), F.lit(parts))
     few = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
         "source", "lang", hashed.alias("part"),
