@@ -1,4 +1,4 @@
-"""Language-model scores by a hierarchical Pitman-Yor model sampled by Gibbs.
+"""Language-model scores by a hierarchical Pitman-Yor model sampled by approximate Gibbs sweeps.
 
 Tokens are the words of a text after lower-casing A-Z, then one end token. A word's context
 is the whole word before it, which is a restaurant of its own. Its parent is one of 1,024
@@ -14,8 +14,9 @@ what the buckets hold and tells each bucket the totals of its own contexts.
 
 Steps: tasks count (word, context) pairs of their documents, all of them, chunk by chunk, and
 send them to their buckets once. A bucket adds up the chunks' counts, keeps which pairs each
-chunk has, and seats all customers; then it reseats them word by word and context by context,
-each given all other seatings, for ``BURN`` sweeps and, with totals exchanged in between,
+chunk has, and seats all customers; then it reseats them level by
+level, all parties of a level from the state before (an approximation of Gibbs sampling, see the
+README), for ``BURN`` sweeps and, with totals exchanged in between,
 ``KEEP`` more, whose predictive probabilities are averaged. It answers each chunk with the
 probabilities of the pairs that the chunk holds, and the chunk's documents add theirs up. The
 burnt-in seating is not stored: the last step repeats those sweeps from the same seed. A
