@@ -26,17 +26,18 @@ def test_a_job_logs_how_it_went(spark, tmp_path, root):
     assert jobs.logged(spark, log, "clients", append, key="clientid") == (0, 0)
     with pytest.raises(ValueError, match="no source"):
         jobs.logged(spark, log, "clients", lambda run: (_ for _ in ()).throw(ValueError("no source")))
-    seen = spark.read.parquet(log)
+    seen = runlog.read_log(spark, log)
     assert seen.count() == 6 and seen.select("id").distinct().count() == 3
     got = runlog.ended(seen).orderBy("id").select("estado", "filas_insertadas", "max_id_inicio", "mensaje_error")
     assert [tuple(r) for r in got.collect()] == [("OK", 2, 9, None), ("OK", 0, 0, None), ("ERROR", 0, None, "no source")]
-    one = runlog.summary(runlog.ended(seen)).first()
+    # the reports take the log as it was written
+    one = runlog.summary(seen).first()
     assert (one.corridas, one.errores, one.ultimo_estado, one.filas) == (3, 1, "ERROR", 2)
     # rows that carry their run's id meet their log row
     runs = [r.id for r in runlog.ended(seen).orderBy("id").collect()]
     loaded = current(spark, root, "load").withColumn("run_id", F.lit(runs[0]))
-    found = runlog.load_metrics(loaded, runlog.ended(seen), "clientid").first()
-    assert (found.paquete, found.filas, found.max_id) == ("clients", 2, 9)
+    (found,) = runlog.load_metrics(loaded, seen, "clientid").collect()
+    assert (found.paquete, found.filas, found.max_id) == ("clients", 2, 9) and found.segundos is not None
 
 
 def test_gold_clients_are_written_on_change_only(spark, tables, root):
@@ -79,16 +80,26 @@ def test_first_requests_touch_the_months_of_changed_clients(spark, root):
     ]
 
 
-def test_the_archive_takes_finished_rows_once(spark, tmp_path):
+def test_the_archive_takes_finished_runs_once(spark, tmp_path):
     log, archive = str(tmp_path / "log"), str(tmp_path / "archive")
-    schema = "id long, estado string"
-    publish(spark.createDataFrame([(1, "OK"), (2, "RUNNING"), (3, "ERROR")], schema), log)
+    archived = lambda: rows(current(spark, archive, "archived_date"), "estado", "filas_insertadas")
     job = jobs.archive_log(log, archive, ("OK", "ERROR"), AT)
+    assert job(spark).rows == 0  # there is no log yet
+    jobs.logged(spark, log, "clients", lambda run: jobs.Written(2, 9))
+    with pytest.raises(ValueError):
+        jobs.logged(spark, log, "clients", lambda run: (_ for _ in ()).throw(ValueError("no source")))
+    runlog.log_run(spark, log, id=7, paquete="long", estado=runlog.RUNNING, filas_insertadas=0, fecha_inicio=AT)
+    first = runlog.read_log(spark, log).where("id <> 7")
+    kept = first.collect()
     assert job(spark).rows == 2 and job(spark).rows == 0
-    assert rows(current(spark, log), "id") == [(2,)]
-    assert rows(current(spark, archive, "archived_date"), "id") == [(1,), (3,)]
-    # a run that died after the archive was written: the rows are removed, not archived again
-    publish(spark.createDataFrame([(2, "OK"), (3, "ERROR")], schema), log)
-    assert job(spark).rows == 1
-    assert current(spark, log).count() == 0
-    assert rows(current(spark, archive, "archived_date"), "id") == [(1,), (2,), (3,)]
+    assert rows(runlog.read_log(spark, log), "id", "estado") == [(7, "RUNNING")]
+    assert archived() == [("ERROR", 0), ("OK", 2)]
+    # a run of the job that died after the archive was written: the rows are removed, not archived again
+    for r in kept:
+        runlog.log_run(spark, log, **r.asDict())
+    runlog.log_run(spark, log, id=7, paquete="long", estado=runlog.OK, filas_insertadas=5, fecha_inicio=AT, fecha_fin=AT)
+    assert job(spark).rows == 1 and job(spark).rows == 0
+    assert archived() == [("ERROR", 0), ("OK", 2), ("OK", 5)]
+    # the job may log itself in the log that it archives
+    jobs.logged(spark, log, "archive", lambda run: job(spark))
+    assert runlog.summary(runlog.read_log(spark, log)).first().corridas == 1

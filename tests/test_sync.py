@@ -1,6 +1,7 @@
 """Stored tables: what a load leaves behind, also when it fails or runs twice."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -155,17 +156,39 @@ def test_overlapping_syncs_lose_nothing(spark, root, monkeypatch):
     assert rows(current(spark, root, "ym"), "k") == [(k,) for k in range(1, 7)]
 
 
-def test_commits_at_the_same_time_are_merged(spark, root):
+def _before_a_commit(monkeypatch, act):
+    """Run ``act`` after a writer has checked the table and before its commit appears."""
+    good = snapshots._Folder.put_new
+
+    def late(self, path, text):
+        monkeypatch.setattr(snapshots._Folder, "put_new", good)
+        act()
+        return good(self, path, text)
+
+    monkeypatch.setattr(snapshots._Folder, "put_new", late)
+
+
+def test_a_commit_between_check_and_write_is_not_lost(spark, root, monkeypatch):
     make = lambda k, ym: spark.createDataFrame([(k, ym)], "k long, ym int")
     publish(make(1, 1), root, "ym")
-    publish(make(2, 2), root, "ym", [2])
-    publish(make(3, 3), root, "ym", [3])
-    folder = snapshots._Folder(spark, root)
-    # the third commit as if it had not seen the second
-    text = json.loads(folder.read(f"{root}/snapshot=3/{snapshots.MANIFEST}"))
-    del text["parts"]["ym=2"]
-    folder.write(f"{root}/snapshot=3/{snapshots.MANIFEST}", json.dumps(text | {"after": 1}))
+    # another month: both commits count
+    _before_a_commit(monkeypatch, lambda: publish(make(2, 2), root, "ym", [2], base=1))
+    publish(make(3, 3), root, "ym", [3], base=1)
     assert rows(current(spark, root, "ym"), "k") == [(1,), (2,), (3,)]
+    assert snapshots.state(spark, root).commit == 3
+    # the same month: the second one is refused, and what the first one wrote stays
+    _before_a_commit(monkeypatch, lambda: publish(make(4, 1), root, "ym", [1], base=3))
+    with pytest.raises(snapshots.StaleTable, match="ym=1"):
+        publish(make(5, 1), root, "ym", [1], base=3)
+    assert rows(current(spark, root, "ym"), "k") == [(2,), (3,), (4,)]
+
+
+def test_many_writers_at_a_time(spark, root):
+    publish(spark.createDataFrame([(0, 0)], "k long, ym int"), root, "ym")
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda k: publish(spark.createDataFrame([(k, k)], "k long, ym int"), root, "ym", [k]), range(1, 13)))
+    assert sorted(r[0] for r in rows(current(spark, root, "ym"), "k")) == list(range(13))
+    assert snapshots.state(spark, root).commit == 13
 
 
 def test_reading_looks_at_few_folders(spark, root, monkeypatch):
@@ -176,16 +199,13 @@ def test_reading_looks_at_few_folders(spark, root, monkeypatch):
     parts = snapshots.state(spark, root).parts
     for n in range(4, 1004):  # a thousand commits of one month
         parts["ym=1"] = parts["ym=1"]._replace(commit=n)
-        text = {"after": n - 1, "own": ["ym=1"], "parts": parts}
-        folder.mkdirs(f"{root}/snapshot={n}")
-        folder.write(f"{root}/snapshot={n}/{snapshots.MANIFEST}", json.dumps(text))
-        folder.create(f"{root}/snapshot={n}/{snapshots.MARKER}")
+        folder.write(f"{root}/{snapshots.COMMITS}/{n}", json.dumps(parts))
     calls = []
-    for name in ("names", "exists", "read"):
+    for name in ("names", "read"):
         good = getattr(snapshots._Folder, name)
         monkeypatch.setattr(snapshots._Folder, name, lambda self, p, f=good: calls.append(p) or f(self, p))
     assert rows(current(spark, root, "ym"), "k") == [(0,), (1,), (2,)]
-    assert len(calls) == 3
+    assert len(calls) == 2
 
 
 def test_expiry_keeps_what_holds_a_partition(spark, root):
@@ -197,7 +217,7 @@ def test_expiry_keeps_what_holds_a_partition(spark, root):
     gone = snapshots.expire(spark, root, keep=2)
     assert f"{root}/snapshot=1/ym=1" in gone and f"{root}/snapshot=1" not in gone
     assert rows(current(spark, root, "ym"), "k", "ym") == [(2, 2), (8, 1)]
-    assert sorted(int(n.partition("=")[2]) for n in snapshots._Folder(spark, root).names(root)) == [1, 6, 7]
+    assert sorted(snapshots._versions(snapshots._Folder(spark, root), root)) == [1, 6, 7]
     assert snapshots.expire(spark, root, keep=2) == []
 
 

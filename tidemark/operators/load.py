@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import intervals
 from tidemark.operators.aggregates import max_key
 from tidemark.operators.joins import missing_in
 from tidemark.operators.shape import above, stamp_insert, stamp_refresh
@@ -92,3 +93,19 @@ def repair_missing(
 ) -> DataFrame:
     """The missing rows, stamped with the run time like any other insert."""
     return stamp_insert(missing_rows(source, target, key), at)
+
+
+def missing_rows_by_runs(source: DataFrame, held: DataFrame, key: str, width: int = intervals.WIDTH) -> DataFrame:
+    """The same from the runs of loaded keys (``intervals.runs``): the target itself is not read."""
+    below = source.where(F.col(key) <= intervals.highest(held).scalar())
+    return intervals.outside(below, held, key, width)
+
+
+def missing_keys_by_runs(source: DataFrame, held: DataFrame, key: str, width: int = intervals.WIDTH) -> DataFrame:
+    return missing_rows_by_runs(source.select(key), held, key, width)
+
+
+def repair_missing_by_runs(
+    source: DataFrame, held: DataFrame, key: str, at: datetime | str, width: int = intervals.WIDTH
+) -> DataFrame:
+    return stamp_insert(missing_rows_by_runs(source, held, key, width), at)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import as_ntz, changed
 from tidemark.operators.aggregates import max_key, one_per_key
+from tidemark.operators.totals import SIGN
 
 INSERTED, UPDATED, UNCHANGED, KEPT = "I", "U", "=", "K"
 # Fixed value: stands for "never" where a change time is missing.
@@ -142,6 +143,44 @@ def upsert(
     return joined.select(*[value(c) for c in target.columns])
 
 
+def captured(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    *,
+    order: Sequence[Column] | None = None,
+    sign: str = SIGN,
+) -> DataFrame:
+    """What an upsert of the new rows changes, as signed rows of ``keys`` and ``cols``.
+
+    An inserted row has sign 1. Where one of ``cols`` differs, the old row has sign -1 and
+    the new one 1; a column that the new rows lack keeps its value. Rows that stay as they
+    are, and rows of the table that no new row names, give nothing.
+    """
+    if order is not None:
+        source = one_per_key(source, keys, order)
+    has = set(source.columns)
+    new = source.select(*keys, *[F.col(c).alias("s_" + c) for c in cols if c in has])
+    old = target.select(*keys, *[F.col(c).alias("t_" + c) for c in cols], F.lit(True).alias("t_"))
+    kinds = {f.name: f.dataType for f in target.schema}
+    now = {c: (F.col("s_" + c).cast(kinds[c]) if c in has else F.col("t_" + c)) for c in cols}
+    was = F.col("t_").isNotNull()
+    differs = changed(lambda c: F.col("t_" + c), lambda c: now[c], [c for c in cols if c in has])
+    both = F.array(
+        F.when(was, F.struct(F.lit(-1).alias(sign), *[F.col("t_" + c).alias(c) for c in cols])),
+        F.struct(F.lit(1).alias(sign), *[now[c].alias(c) for c in cols]),
+    )
+    rows = new.join(old, list(keys), "left").where(~was | differs)
+    return rows.select(*keys, F.explode(both).alias("_row")).where("_row is not null").select(*keys, "_row.*")
+
+
+def removed(target: DataFrame, bad: DataFrame, keys: Sequence[str], cols: Sequence[str], sign: str = SIGN) -> DataFrame:
+    """What a delete of the keys in ``bad`` changes: the rows that go, with sign -1."""
+    gone = target.select(*keys, *cols).join(bad.select(*keys).distinct(), list(keys), "left_semi")
+    return gone.withColumn(sign, F.lit(-1))
+
+
 def merge_counts(
     target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str]
 ) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.aggregates import count_max, max_key
+from tidemark.operators.aggregates import count_max
 
 # Outcome of a task.
 BEHIND, IN_STEP, FAILED = "DIFERENCIA", "SINCRONIZADO", "ERROR"
@@ -37,8 +38,8 @@ def _side(spark: SparkSession, side: Mapping, by: str) -> DataFrame:
             F.coalesce(F.col("cnt").cast("bigint"), F.lit(0)).alias("cnt"),
             F.coalesce(F.col("max_id").cast("bigint"), F.lit(0)).alias("max_id"),
         )
-    highest = max_key(spark.table(side["tabla"]), side["id_col"])
-    return highest.select(F.lit(None).cast("bigint").alias("cnt"), F.col("max_id").cast("bigint"))
+    plain = _plain(side, by)
+    return fused(spark, plain.table, [plain], by).toDF("cnt", "max_id")
 
 
 def _task(spark: SparkSession, task: Mapping, by: str) -> DataFrame:
@@ -80,28 +81,112 @@ def _failure(task: Mapping, error: Exception) -> tuple:
     return (*labels, None, None, None, None, None, FAILED, str(error))
 
 
+class _Plain(NamedTuple):
+    """A side without a text of its own: a table, its key, and a condition its rows have to meet."""
+
+    table: str
+    key: str
+    where: str | None
+
+
+def _plain(side: Mapping, by: str) -> _Plain | None:
+    if by == "count" and side.get("sql_count"):
+        return None
+    return _Plain(side["tabla"], side["id_col"], side.get("filtro"))
+
+
+def fused(spark: SparkSession, table: str, sides: Sequence[_Plain], by: str) -> DataFrame:
+    """All sides over one table in one read of it: one row with a count and a key for each.
+
+    A side with a condition has a count of its own; one without has none, as it had no text to count by.
+    """
+    parts = []
+    for i, side in enumerate(sides):
+        met = F.expr(side.where) if side.where else F.lit(True)
+        counted = by == "count" and side.where
+        parts.append((F.count_if(met) if counted else F.lit(None)).cast("bigint").alias(f"n{i}"))
+        parts.append(F.coalesce(F.max(F.when(met, F.col(side.key))), F.lit(0)).cast("bigint").alias(f"m{i}"))
+    return spark.table(table).agg(*parts)
+
+
+Found = tuple[int | None, int | None] | Exception
+
+
+def _isolated(spark: SparkSession, catalogue: Sequence[Mapping], by: str) -> list[tuple]:
+    """A job per table, and one per text. Where a table's job fails, its sides are tried one by one."""
+    places = [(i, name) for i in range(len(catalogue)) for name in ("origen", "destino")]
+    found: dict[tuple[int, str], Found] = {}
+    tables: dict[str, list[tuple[tuple[int, str], _Plain]]] = {}
+    texts = []
+    for i, name in places:
+        try:
+            side = _plain(catalogue[i].get(name) or {}, by)
+        except KeyError as error:
+            found[i, name] = error
+            continue
+        if side is None:
+            texts.append((i, name))
+        else:
+            tables.setdefault(side.table, []).append(((i, name), side))
+
+    def of_table(table: str) -> None:
+        places, sides = zip(*tables[table], strict=True)
+        try:
+            row = fused(spark, table, sides, by).first()
+            found.update({place: (row[f"n{k}"], row[f"m{k}"]) for k, place in enumerate(places)})
+        except PySparkException as error:
+            if len(places) == 1:
+                found[places[0]] = error
+                return
+            for place, side in tables[table]:
+                try:
+                    found[place] = tuple(fused(spark, table, [side], by).first())
+                except PySparkException as own:
+                    found[place] = own
+
+    def of_text(place: tuple[int, str]) -> None:
+        try:
+            found[place] = tuple(_side(spark, catalogue[place[0]][place[1]], by).first())
+        except PySparkException as error:
+            found[place] = error
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(of_table, tables))
+        list(pool.map(of_text, texts))
+    return [_outcome(task, found[i, "origen"], found[i, "destino"]) for i, task in enumerate(catalogue)]
+
+
+def _outcome(task: Mapping, origin: Found, target: Found) -> tuple:
+    for side in (origin, target):
+        if isinstance(side, Exception):
+            return _failure(task, side)
+    (n, m), (k, l) = origin, target
+    gap = m - l if n is None or k is None else n - k
+    labels = (task.get("task_id", "unknown"), task.get("descripcion", ""), task.get("dag_id", ""))
+    return (*labels, n, k, m, l, gap, BEHIND if gap > 0 else IN_STEP, None)
+
+
 def audit(
     spark: SparkSession, catalogue: Sequence[Mapping], by: str = "count", isolate: bool = True
 ) -> DataFrame:
     """One row per task: both sides, their difference, and the outcome.
 
-    The difference is of counts where both sides have a count query, else of
-    highest keys; ``by="max"`` ignores count queries. A task whose text names
-    an unknown table or column is an ERROR row. Each task runs as its own job, so that
-    one failing while it runs is an ERROR row too; without ``isolate`` all tasks
-    are one job, which such a task stops. Each task gives one row, whatever it reads.
+    The difference is of counts where both sides have a count, by a text of their own
+    (``sql_count``) or a condition (``filtro``), else of highest keys; ``by="max"`` ignores texts.
+    All sides without a text that name one table are one read of it. A task that names an
+    unknown table or column, or fails while it runs, is an ERROR row and stops no other. Without
+    ``isolate`` all tasks are one job, a read per side, which a failing task stops. Each task gives
+    one row, whatever it reads.
     """
+    if isolate:
+        return spark.createDataFrame(_isolated(spark, catalogue, by), RESULT)
 
     def ready(task: Mapping) -> DataFrame | tuple:
         try:
-            frame = _task(spark, task, by)
-            return tuple(frame.first()) if isolate else frame
+            return _task(spark, task, by)
         except (PySparkException, KeyError) as error:
             return _failure(task, error)
 
-    if isolate:
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            return spark.createDataFrame(list(pool.map(ready, catalogue)), RESULT)
     made = [ready(task) for task in catalogue]
     frames = [m for m in made if isinstance(m, DataFrame)]
     failed = [m for m in made if not isinstance(m, DataFrame)]

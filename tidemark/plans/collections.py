@@ -24,6 +24,7 @@ from tidemark.functions import (
 )
 from tidemark.functions.rules import PACK_TYPE
 from tidemark.operators.aggregates import corp_report, hot_cold, latest, one_per_key, union_tagged
+from tidemark.operators.asof import last_before
 from tidemark.operators.joins import listed_or
 from tidemark.operators.merge import upsert
 from tidemark.operators.shape import collected, in_month, month_range
@@ -252,6 +253,13 @@ def in_usd(rows: DataFrame, rates: DataFrame) -> DataFrame:
     return rated.drop("rate")
 
 
+def in_usd_on_date(rows: DataFrame, rates: DataFrame, amount: str = "amount_bruta_usd", since: str = "desde") -> DataFrame:
+    """``amount_usd`` by the rate that held on the payment date; ``rates`` has currency, ``since`` and rate."""
+    rated = last_before(rows, rates, "currency", "pay_date", since, "rate")
+    usd = to_usd(F.col(amount), F.col("currency"), F.col("rate")).cast("decimal(18,6)")
+    return rated.withColumn("amount_usd", usd)
+
+
 def corp_year_report(
     history: DataFrame, live: DataFrame, ym: int, rates: DataFrame | None = None
 ) -> DataFrame:

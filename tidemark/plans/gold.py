@@ -69,7 +69,12 @@ def active_clients(redeems: DataFrame, clients: DataFrame, developers: DataFrame
 
 def expire_contracts(active: DataFrame, redeems: DataFrame, asof: date) -> DataFrame:
     """``finalizado`` is 1 where the last request is from last year or before."""
-    last = redeems.groupBy("clientid").agg(F.to_date(F.max("fcorreo")).alias("ultimo"))
+    return expire_by_last(active, redeems.groupBy("clientid").agg(F.max("fcorreo").alias("ultimo")), asof)
+
+
+def expire_by_last(active: DataFrame, last: DataFrame, asof: date) -> DataFrame:
+    """The same from each client's last request, as ``operators.extremes`` keeps it."""
+    last = last.select("clientid", F.to_date("ultimo").alias("ultimo"))
     over = F.year("ultimo") <= asof.year - 1
     return active.join(last, "clientid", "left").withColumn(
         "finalizado", F.when(over, 1).otherwise(0)

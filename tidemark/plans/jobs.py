@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import as_ntz
 from tidemark.operators.aggregates import count_max
 from tidemark.operators.cleanup import archive_rows, purge_archived
-from tidemark.operators.joins import split_join
+from tidemark.operators.joins import exists_in, split_join
 from tidemark.operators.merge import merge_counts
 from tidemark.operators.sizes import frozen
 from tidemark.plans import gold, runlog
@@ -131,19 +131,20 @@ def store_first_request(root: str, by: str = "aniomes", column: str = "inicio_r"
 
 
 def archive_log(log_root: str, archive_root: str, states: Sequence[str], at: datetime) -> Callable[[SparkSession], Written]:
-    """A job that moves finished log rows to the archive, by date, and then out of the log.
+    """A job that moves the ended runs of a log to the archive, by date, and then out of the log.
 
-    If it dies in between, the next run finds the rows archived and only removes them.
+    The log is what ``logged`` writes. The archive gets one row per run. If the job dies in
+    between, the next run finds the rows archived and only removes them.
     """
 
     def run(spark: SparkSession) -> Written:
-        seen = snapshots.state(spark, log_root)
-        log = current(spark, log_root, at=seen)
-        if log is None:
+        folder = snapshots._Folder(spark, log_root)
+        if not folder.names(log_root):
             return Written(0)
+        log = runlog.read_log(spark, log_root)
         before = snapshots.state(spark, archive_root)
         held = current(spark, archive_root, "archived_date", at=before)
-        finished = archive_rows(log, states, at)
+        finished = archive_rows(runlog.ended(log), states, at)
         new = frozen(finished if held is None else purge_archived(finished, held))
         n = new.count()
         if n:
@@ -152,10 +153,10 @@ def archive_log(log_root: str, archive_root: str, states: Sequence[str], at: dat
             whole = new if same is None else same.select(new.columns).unionByName(new)
             publish(whole, archive_root, "archived_date", [day], before.commit)
         held = current(spark, archive_root, "archived_date")
-        left = log if held is None else purge_archived(log, held)
-        removed = log.count() - left.count()
-        if removed:
-            publish(left, log_root, base=seen.commit)
+        if held is not None:
+            done = exists_in(log.select("id").distinct(), held, "id")
+            for row in done.toLocalIterator():  # one folder per run that leaves the log
+                folder.delete(runlog.run_folder(log_root, row.id))
         return Written(n)
 
     return run

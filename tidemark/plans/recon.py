@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import name_of_month
+from tidemark.functions import name_of_month, year_month
 from tidemark.functions.rules import PACK_TYPE
 from tidemark.operators.aggregates import filled_counts, month_count
 from tidemark.operators.cleanup import suspect_payments, suspect_requests
+from tidemark.operators.differences import WIDTH, Side, differing_rows
 from tidemark.operators.shape import (
     authorized,
     before,
@@ -90,6 +91,60 @@ def recon_paid(
     return month_diff(month_count(rows, F.col("_on"), F.col("requests")), target, asof, how)
 
 
+def _fact_side(target: DataFrame, key: str, asof: date, values: tuple[str, ...]) -> Side:
+    month = F.col("anio") * 100 + F.col("mes")
+    cells = [F.col("fecha"), *[F.col(v) for v in values]]
+    return Side(before(target, "fecha", asof), [F.col(key).cast("bigint")], month, cells)
+
+
+def _source_side(
+    rows: DataFrame, on: Column, values: dict[str, Column], target: DataFrame, weight: Column | None = None
+) -> Side:
+    """Values in the types that the fact stores them in."""
+    kinds = {f.name: f.dataType for f in target.schema}
+    cells = [F.to_date(on), *[v.cast(kinds[name]) for name, v in values.items()]]
+    return Side(rows, [F.col("indice").cast("bigint")], year_month(on), cells, weight)
+
+
+def requested_differences(redeems: DataFrame, target: DataFrame, asof: date, width: int = WIDTH) -> DataFrame:
+    """The requests behind the differences of ``recon_requested``, and those whose values differ.
+
+    A row per request: which side has it (``lado``), its month and rows on both sides.
+    """
+    rows = before(requested(redeems), "fcorreo", asof)
+    values = {"monto": F.col("monto"), "status_r": F.col("status_r")}
+    mine = _source_side(rows, F.col("fcorreo"), values, target)
+    return differing_rows(mine, _fact_side(target, "contador", asof, tuple(values)), ["contador"], width)
+
+
+def authorized_differences(
+    payments: DataFrame, redeems: DataFrame, clients: DataFrame, target: DataFrame, asof: date, width: int = WIDTH
+) -> DataFrame:
+    """The payments behind ``recon_authorized``: a payment stands for all its requests, as it does there."""
+    rows = before(authorized(payments), "f_authorized", asof).join(request_counts(redeems, clients), "indice")
+    mine = _source_side(rows, F.col("f_authorized"), {"monto": F.col("monto")}, target, F.col("requests"))
+    return differing_rows(mine, _fact_side(target, "contador", asof, ("monto",)), ["contador"], width)
+
+
+def paid_differences(
+    payments: DataFrame, redeems: DataFrame, target: DataFrame, asof: date, width: int = WIDTH
+) -> DataFrame:
+    """The payments behind ``recon_paid``."""
+    rows = before(paid(payments), paid_date(), asof).join(request_counts(redeems), "indice")
+    mine = _source_side(rows, paid_date(), {"monto": F.col("monto")}, target, F.col("requests"))
+    return differing_rows(mine, _fact_side(target, "pagoid", asof, ("monto",)), ["pagoid"], width)
+
+
+def amount_differences(source: DataFrame, history: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The collections behind ``recon_amount``: missing, left over, or of another month or amount."""
+
+    def side(rows: DataFrame) -> Side:
+        keys = [F.col("indice").cast("bigint"), F.col("is_packed").cast("int")]
+        return Side(rows, keys, F.col("pay_year") * 100 + F.col("pay_month"), [F.col("amount_bruta_usd").cast("decimal(18,6)")])
+
+    return differing_rows(side(source), side(history), ["indice", "is_packed"], width)
+
+
 def recon_amount(source: DataFrame, history: DataFrame) -> DataFrame:
     """Collections of the source against the history, count and amount by month.
 

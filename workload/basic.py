@@ -10,6 +10,7 @@ from tidemark import functions as fn
 from tidemark.operators import aggregates as agg
 from tidemark.operators import cleanup, joins, load, shape
 from tidemark.plans import collections as coll
+from tidemark.plans import runlog
 from tidemark.sources.tables import CLIENT_COLUMNS, PHONE_COLUMNS, run_template, scan
 from workload.registry import query
 
@@ -452,19 +453,19 @@ def _(t):
 @query(
     "top_recent",
     "view id:i paquete estado fecha_inicio:s",
-    """select 'all' as view, * from (select * from runlog order by fecha_inicio desc, id desc limit 20) a
+    """select 'all' as view, * from (select * from runs_ended order by fecha_inicio desc, id desc limit 20) a
        union all
-       select 'errors', * from (select * from runlog where estado = 'ERROR'
+       select 'errors', * from (select * from runs_ended where estado = 'ERROR'
          order by fecha_inicio desc, id desc limit 10) b
        union all
-       select 'job', * from (select * from runlog where paquete = 'job_click'
+       select 'job', * from (select * from runs_ended where paquete = 'job_click'
          order by fecha_inicio desc, id desc limit 5) c""",
 )
 def _(t):
     named = {
-        "all": agg.recent(t.runlog, 20),
-        "errors": agg.recent(t.runlog, 10, state="ERROR"),
-        "job": agg.recent(t.runlog, 5, job="job_click"),
+        "all": agg.recent(runlog.ended(t.runlog), 20),
+        "errors": agg.recent(runlog.ended(t.runlog), 10, state="ERROR"),
+        "job": agg.recent(runlog.ended(t.runlog), 5, job="job_click"),
     }
     views = [df.withColumn("view", F.lit(v)) for v, df in named.items()]
     return views[0].unionByName(views[1]).unionByName(views[2])
@@ -629,10 +630,10 @@ def _(t):
     "id:i paquete estado archived_at:s archived_week:i archived_date:s",
     """select id, paquete, estado, timestamp '2001-07-20 05:30:00' as archived_at,
               weekofyear(date '2001-07-20') as archived_week, date '2001-07-20' as archived_date
-       from runlog where estado in ('OK', 'ERROR')""",
+       from runs_ended where estado in ('OK', 'ERROR')""",
 )
 def _(t):
-    return cleanup.archive_rows(t.runlog, ["OK", "ERROR"], AT)
+    return cleanup.archive_rows(runlog.ended(t.runlog), ["OK", "ERROR"], AT)
 
 
 @query(

@@ -157,15 +157,44 @@ STANDINS = {
         from ticket_items i join tickets t on t.idticket = i.ticket_id join cardcollec h on h.indice = i.idcc
              join clients c on c.clientid = h.clientid join developers d on d.iddev = c.company
         where c.dppaidin = 2 and i.id % 5 <> 0""",
+    # a row when a run starts, and one when it has ended
     "runlog": """
         select event_id as id, concat('job_', event_type) as paquete,
-               case event_id % 10 when 0 then 'ERROR' when 1 then 'RUNNING' else 'OK' end as estado,
+               case event_id % 10 when 0 then 'ERROR' else 'OK' end as estado,
                cast(floor(value) as bigint) as filas_insertadas, date_trunc('hour', ts) as fecha_inicio,
-               case when event_id % 10 <> 1 then ts + interval '1' minute end as fecha_fin
+               ts + interval '1' minute as fecha_fin
+        from events where event_id % 10 <> 1
+        union all
+        select event_id, concat('job_', event_type), 'RUNNING', 0, date_trunc('hour', ts), cast(null as timestamp)
         from events""",
+    "runs_ended": """
+        select * from runlog
+        where estado <> 'RUNNING' or id not in (select id from runlog where estado <> 'RUNNING')""",
     "archive": "select id from runlog where estado in ('OK', 'ERROR') and id % 3 <> 0",
     # rows that carry the run which loaded them; some runs left no log row, some started together
     "loaded": "select o_orderkey as clientid, o_orderkey - o_orderkey % 50 as run_id from orders",
+    # new versions of a third of the requests: some moved by 40 days, some there twice
+    "requested_changes": """
+        select indice as contador, clientid, cast(fcorreo as date) + v.days as fecha,
+               cast(year(cast(fcorreo as date) + v.days) as int) as anio,
+               cast(month(cast(fcorreo as date) + v.days) as int) as mes,
+               cast(monto + v.more as decimal(11,2)) as monto, currency, status_r, v.more as version
+        from redeems join versions v on v.part = case when indice % 51 = 0 then 2 when indice % 17 = 0 then 1 else 0 end
+        where indice % 3 = 0 and fcorreo is not null and coalesce(status_r, 0) <> 0""",
+    "versions": """
+        select 0 as part, 0 as more, 0 as days union all select 1, 0, 40
+        union all select 2, 0, 40 union all select 2, 1, 40""",
+    # requests as an earlier load saw them: some not there yet, some of another date, some deleted since
+    "redeems_before": """
+        select indice, clientid, cast(fcorreo as date) + case when indice % 11 = 0 then 200 else 0 end as fcorreo
+        from redeems where indice % 7 <> 0
+        union all
+        select indice + 100000000, clientid, cast(fcorreo as date) - 300 from redeems where indice % 29 = 0""",
+    "dated_rates": """
+        select 'MXN' as currency, date '1994-03-01' + n_nationkey * 97 as desde,
+               cast(15 + n_nationkey % 6 as decimal(9,4)) as rate
+        from nation
+        union all select 'MXN', date '1994-03-01' + n_nationkey * 97, cast(7 as decimal(9,4)) from nation where n_nationkey = 3""",
     "phones": """
         select distinct o_custkey as clientid, c_mktsegment as product,
                concat('+52', lpad(cast(o_custkey * 7 + o_orderkey % 3 as string), 8, '0')) as phone

@@ -856,7 +856,7 @@ def _(t):
     """select paquete, count(*) as corridas, sum(case when estado = 'ERROR' then 1 else 0 end) as errores,
           max(fecha_inicio) as ultima_corrida, arg_max(estado, (fecha_inicio, id)) as ultimo_estado,
           sum(filas_insertadas) as filas, avg(date_diff('second', fecha_inicio, fecha_fin)) as segundos_prom
-       from runlog group by paquete""",
+       from runs_ended group by paquete""",
 )
 def _(t):
     return runlog.summary(t.runlog)
@@ -870,7 +870,7 @@ def _(t):
           cast(l.filas as double) / nullif(date_diff('second', r.fecha_inicio, r.fecha_fin), 0) as filas_seg
        from (select run_id, count(*) as filas, min(clientid) as min_id, max(clientid) as max_id
              from loaded group by run_id) l
-       left join runlog r on r.id = l.run_id""",
+       left join runs_ended r on r.id = l.run_id""",
 )
 def _(t):
     return runlog.load_metrics(t.loaded, t.runlog, "clientid")
