@@ -129,6 +129,25 @@ def test_broadcast_only_up_to_the_bound(spark, stored, no_auto_broadcast):
     assert found.count() == 19
 
 
+def test_long_texts_are_not_small(spark, no_auto_broadcast):
+    rows_ = sizes.frozen(spark.range(10).select("id", F.repeat(F.lit("x"), 100_000).alias("text")))
+    assert sizes.byte_size(rows_) >= 1_000_000
+    assert sizes.is_small(rows_, 1_100_000) and not sizes.is_small(rows_, 900_000)
+    assert sizes.is_small(sizes.frozen(spark.range(0)), 0)
+
+
+def test_the_load_of_a_month_is_a_plan_only(spark, tables):
+    from workload.basic import AT, sources
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    try:
+        coll.load_month(sources(tables), tables.colleclog, tables.history_target, 202401, AT)
+        assert tracker.getJobIdsForGroup("plan-only") == ()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_a_small_merge_does_not_shuffle_the_table(spark, stored, no_auto_broadcast):
     table = spark.read.parquet(stored)
     new = sizes.frozen(table.where("clientid > 3995").withColumn("email", F.lit("y")))

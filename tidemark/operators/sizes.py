@@ -32,10 +32,18 @@ def row_bytes(rows: DataFrame) -> int:
     return 8 + sum(schema.apply(i).dataType().defaultSize() for i in range(len(rows.columns)))
 
 
+def byte_size(frozen_rows: DataFrame) -> int:
+    """The bytes of the rows, counted now: texts by their lengths, all else by its type."""
+    long = [c for c, kind in frozen_rows.dtypes if kind in ("string", "binary")]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in long]
+    n, *sizes = frozen_rows.agg(F.count("*"), *lengths).first()
+    return n * row_bytes(frozen_rows) + sum(sizes)
+
+
 def is_small(frozen_rows: DataFrame, limit: int | None = None) -> bool:
-    """Whether the rows, counted now, stay within ``limit`` bytes (Spark's threshold)."""
+    """Whether the rows stay within ``limit`` bytes (Spark's threshold)."""
     limit = threshold(frozen_rows.sparkSession) if limit is None else limit
-    return frozen_rows.count() * row_bytes(frozen_rows) <= limit
+    return byte_size(frozen_rows) <= limit
 
 
 def hinted(rows: DataFrame, small: bool) -> DataFrame:

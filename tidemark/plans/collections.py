@@ -20,7 +20,6 @@ from tidemark.functions import (
     month_start,
     net_amount,
     to_usd,
-    year_month,
 )
 from tidemark.functions.rules import PACK_TYPE
 from tidemark.operators.aggregates import corp_report, hot_cold, latest, one_per_key, union_tagged
@@ -194,14 +193,18 @@ def late_keys(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
 
 def load_rows(s: Sources, log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
     """What the load of month ``ym`` writes: the month, and late changes before it."""
-    return collections(s, ym, late=late_keys(log, history, ym))
+    return collections(s, ym, late=late_changes(log, history, ym).select("cardcollec_id"))
 
 
 def load_month(
     s: Sources, log: DataFrame, history: DataFrame, ym: int, at: datetime | str
 ) -> DataFrame:
-    """The history after the load; a second run changes nothing."""
-    return merge_touched(history, load_rows(s, log, history, ym), at)
+    """The history after the load; a second run changes nothing.
+
+    A plan and no job: late keys, rows and merge run when the result is read. The stored job
+    (``daily.load_collections``) freezes its keys and rewrites touched months only.
+    """
+    return merge_history(history, load_rows(s, log, history, ym), at)
 
 
 def load_months(
@@ -226,23 +229,6 @@ def merge_history(
     )
 
 
-def merge_touched(history: DataFrame, rows: DataFrame, at: datetime | str) -> DataFrame:
-    """The same for a few months: rows of all other months pass by the join.
-
-    The rows are frozen. The months they touch, by their date or by that of the row they
-    replace, are found by the keys alone; there are as many as the calendar has.
-    """
-    rows = frozen(rows)
-    small = is_small(rows)
-    month = year_month("pay_date")
-    keys = hinted(rows.select(*HISTORY_KEY), small)
-    held = history.select(*HISTORY_KEY, month.alias("_m")).join(keys, list(HISTORY_KEY), "left_semi")
-    touched = held.select("_m").unionByName(rows.select(month.alias("_m"))).distinct()
-    months = [r[0] for r in touched.collect()]
-    hit = F.coalesce(month.isin([m for m in months if m is not None]), F.lit(None in months))
-    return history.where(~hit).unionByName(merge_history(history.where(hit), rows, at, small))
-
-
 def in_usd(rows: DataFrame, rates: DataFrame) -> DataFrame:
     """Gross and net in USD by the rate of (currency, pay_year)."""
     table = rates.select("currency", F.col("anio").alias("pay_year"), "rate")
