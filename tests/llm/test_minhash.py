@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 
 from tidemark.llm import minhash
@@ -80,6 +81,33 @@ def test_blocks_of_a_bucket_lose_nothing(spark):
     assert sorted(sorted(g) for g in groups.values()) == sorted(sorted(g) for g in plain.values())
 
 
+def test_one_outsider_costs_a_row_per_block(spark):
+    """20,000 members of one component and one outsider: rows grow with the members, not their square."""
+    buckets = spark.range(20_001).select(F.lit(1).cast("long").alias("bucket"), F.lit(0).alias("band"), F.col("id").alias("node"))
+    roots = spark.range(1, 20_000).select(F.col("id").alias("u"), F.lit(0).cast("long").alias("v"))
+    dealt = minhash._open_buckets(buckets, roots, 500)
+    guests = dealt.where("guest").collect()
+    assert {r.node for r in guests} == {20_000} and len(guests) == 41
+    assert dealt.count() == 20_001 + 41
+    assert dealt.groupBy("bucket", "low", "high").count().agg(F.max("count")).first()[0] <= 1000
+
+
+def test_every_pair_of_two_components_meets_at_home_or_as_guest(spark):
+    rng = random.Random(3)
+    comp = {n: rng.choice((0, 0, 0, 1, 2, n)) for n in range(60)}
+    buckets = spark.createDataFrame([(1, 4, n) for n in comp], "bucket long, band int, node long")
+    roots = spark.createDataFrame([(n, c) for n, c in comp.items() if n != c], "u long, v long")
+    met = set()
+    groups = {}
+    for r in minhash._open_buckets(buckets, roots, 7).collect():
+        groups.setdefault((r.low, r.high), []).append(r)
+    for rows_ in groups.values():
+        guests = [r for r in rows_ if r.guest]
+        for r in guests or rows_:
+            met |= {frozenset((r.node, h.node)) for h in rows_ if not h.guest and h.comp != r.comp}
+    assert met == {frozenset((a, b)) for a in comp for b in comp if comp[a] != comp[b]}
+
+
 def test_bands_and_agreement():
     for percent in (50, 80, 85, 95):
         n, r = minhash.bands(percent)

@@ -239,23 +239,27 @@ def _matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
 
 
 def _links_across(least: int, percent: int, k: int, count: int, rows: int):
-    """Links between components among two blocks of a bucket, found on full sets in the task.
+    """Links between components among the blocks of a group, found on full sets in the task.
 
-    Of the pairs that agree by signature, those that share an earlier band are left to it.
+    Guests are compared with those at home; where there are none, all are at home and compared
+    with each other. Of the pairs that agree by signature, those that share an earlier band are left to it.
     Links that join nothing new within the blocks are not needed and not given.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["bucket", "low", "high"]):
-            node, comp, own = (group.column(c).to_numpy() for c in ("node", "comp", "own"))
+            node, comp = (group.column(c).to_numpy() for c in ("node", "comp"))
+            guest = np.array(group.column("guest").to_pylist(), bool)
             band = group.column("band")[0].as_py()
             sign = _matrix(group.column("sign"), np.uint32)
-            same_block = group.column("low")[0] == group.column("high")[0]
             value, first = shingles([zstandard.decompress(t) for t in group.column("packed").to_pylist()], k)
             size = np.diff(first)
             comp, found = comp.copy(), []
             for i in range(len(node)):
-                to = (np.arange(len(node)) > i) & (comp != comp[i]) & (same_block | (own != own[i]))
+                if guest.any():
+                    to = ~guest & (comp != comp[i]) if guest[i] else np.zeros(len(node), bool)
+                else:
+                    to = (np.arange(len(node)) > i) & (comp != comp[i])
                 to &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
                 others = np.flatnonzero(to)
                 same = sign[others] == sign[i]
@@ -282,21 +286,32 @@ def _links_across(least: int, percent: int, k: int, count: int, rows: int):
 
 
 def _open_buckets(buckets: DataFrame, roots: DataFrame, block: int) -> DataFrame:
-    """Members of buckets of three and more that hold several components, dealt out to pairs of blocks."""
+    """Members of buckets of three and more that hold several components, dealt out to groups.
+
+    Of two members of different components at least one is outside the bucket's largest component.
+    So members are dealt into blocks, outsiders into blocks of their own, and each block of members
+    meets each block of outsiders: n ceil(o / block) + o ceil(n / block) rows for n members
+    and o outsiders, which is about n where outsiders are few. A group holds two blocks at most.
+    """
     labelled = buckets.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
     labelled = labelled.select("bucket", "band", "node", F.coalesce("root", "node").alias("comp"))
-    mixed = (
-        labelled.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-        .where("n > 2 and c1 <> c2")
-        .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = labelled.join(mixed, "bucket").withColumn("own", own)
-    return members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "band", "node", "comp", "own",
-        F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+    shares = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
+    largest = F.max(F.struct("m", "comp"))
+    mixed = shares.groupBy("bucket").agg(F.sum("m").alias("n"), F.count("*").alias("comps"), largest.alias("l"))
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    mixed = mixed.where("n > 2 and comps > 1").select(
+        "bucket", F.col("l.comp").alias("giant"), blocks(F.col("n")).alias("blocks"),
+        blocks(F.col("n") - F.col("l.m")).alias("others"),
     )
+    found = labelled.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    at_home = found.withColumn("other", upto("others")).withColumn("guest", F.lit(False))
+    # the outsiders of a bucket of one block are at home there
+    outside = found.where("comp <> giant and blocks > 1")
+    outside = outside.withColumn("other", F.pmod(F.xxhash64("node", F.lit(5)), F.col("others")).cast("int"))
+    guests = outside.withColumn("own", upto("blocks")).withColumn("guest", F.lit(True))
+    columns = ["bucket", "band", "node", "comp", F.col("own").alias("low"), F.col("other").alias("high"), "guest"]
+    return at_home.select(*columns).unionByName(guests.select(*columns))
 
 
 def _packed(texts: DataFrame) -> DataFrame:
@@ -354,7 +369,9 @@ def classes_and_links(
 
     roots = components(links.toDF("u", "v"))
     open_ = freeze(_open_buckets(buckets, roots, block))
-    whole = open_.join(classes.select("node", "sign"), "node").join(_packed(texts_of(open_)), "node")
+    # signature and text meet once per document, then go to all groups that it is in
+    held = classes.select("node", "sign").join(_packed(texts_of(open_)), "node")
+    whole = open_.join(held, "node")
     rest = _dealt(whole).mapInArrow(
         _links_across(least, percent, k, *bands(percent, hashes)), "a bigint, b bigint"
     )
