@@ -23,6 +23,4 @@ def tokenizer():
 
     from tidemark.llm.tokens import default_vocabulary
 
-    out = Tokenizer.from_file(default_vocabulary())
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(default_vocabulary())

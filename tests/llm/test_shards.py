@@ -46,6 +46,26 @@ def test_round_trip(stored, rows_, tokenizer, tmp_path):
     assert not [n for n in os.listdir(folder) if n.startswith(".shard") and n.endswith(".bin")]
 
 
+def test_a_path_without_scheme_is_one_of_sparks_file_system(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    assert shards.qualified(spark, folder) == f"file:{folder}"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.defaultFS", "viewfs://lake/")
+    conf.set("fs.viewfs.mounttable.lake.link./data", f"file://{tmp_path}")
+    try:
+        assert shards.qualified(spark, "/data/out") == "viewfs://lake/data/out"
+    finally:
+        conf.set("fs.defaultFS", "file:///")
+
+
+def test_wide_ids(stored, tokenizer, rows_, tmp_path):
+    folder = str(tmp_path / "out")
+    found = shards.write_shards(stored, folder, length=32, dtype="<u4")
+    data = shards.read(folder, 0, 10**9)
+    assert data.dtype == np.uint32 and data.sum() == sum(sum(brute.ids_of(t, tokenizer)) for _, t, *_ in rows_)
+    assert found.agg({"length": "sum"}).first()[0] == sum(len(brute.ids_of(t, tokenizer)) + 1 for _, t, *_ in rows_)
+
+
 def test_same_key_same_bytes(stored, tmp_path):
     one, two, other = (str(tmp_path / n) for n in "abc")
     for folder, key in ((one, 1), (two, 1), (other, 2)):

@@ -5,7 +5,8 @@ that all pieces but the first are full. Each partition packs its pieces best-fit
 longest first, and emits its nearly full bins; the others travel on, as items of the
 size they are filled to, to fewer partitions, where best-fit runs again, and so on
 like a tree. A bin carries the list of its pieces (at most one per token), so no join
-puts the rounds together. A round stops merging where a task would get more than
+puts the rounds together. Pieces of one length go by row and piece, so ties are settled the same way
+in every run; a repeated row is packed twice, a null id is an id. A round stops merging where a task would get more than
 ``ITEMS`` bins: then the leftovers of that many bins are lost room, a share below
 1 / ``ITEMS``.
 """
@@ -29,7 +30,7 @@ END = 0
 FIRST = 20_000
 ITEMS = 400_000
 MERGE = 8  # partitions that meet in one of the next round
-NEARLY_FULL = 1.0  # a bin filled to this share of the capacity is emitted at once
+NEARLY_FULL = 0.99  # a bin filled to this share of the capacity is emitted at once
 _PIECE = "doc_id bigint, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 

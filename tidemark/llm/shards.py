@@ -20,19 +20,20 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import plain
-from tidemark.llm.packing import tokens
+from tidemark.llm.packing import END
 from tidemark.llm.text import mix, slices
-from tidemark.llm.tokens import count, default_vocabulary
+from tidemark.llm.tokens import count, default_vocabulary, listed
 
 LENGTH = 256
 ROWS = 65_536
@@ -78,6 +79,9 @@ def _sizes(vocabulary: str, length: int):
 
 def _sequences(vocabulary: str, length: int, dtype: str, first: dict, total: int, key: int, rows_each: int):
     """The sequences of a partition with their slots; ``first`` says what the counting found."""
+    size = np.dtype(dtype).itemsize
+    each = length * size
+    wide = np.dtype(dtype) != np.dtype(np.uint16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, end, wanted = first.get(TaskContext.get().partitionId(), (0, 0, 0))
@@ -87,13 +91,14 @@ def _sequences(vocabulary: str, length: int, dtype: str, first: dict, total: int
                 docs, pieces, own, blobs = [], [], [], []
                 for doc, t in zip(rows.column("doc_id").to_pylist(), texts, strict=True):
                     check = zlib.crc32(t, zlib.crc32(str(doc).encode(), check))
-                    found = tokens(t, vocabulary)
-                    for k, a in enumerate(range(0, len(found), length)):
-                        row = found[a : a + length]
-                        docs.append(doc)
-                        pieces.append(k)
-                        own.append(len(row))
-                        blobs.append(row.astype(dtype).tobytes())
+                    found = listed(t, vocabulary)
+                    found.append(END)
+                    raw = np.array(found, dtype).tobytes() if wide else array("H", found).tobytes()
+                    starts = range(0, len(raw), each)
+                    blobs += [raw[a : a + each] for a in starts]
+                    docs += [doc] * len(starts)
+                    pieces += range(len(starts))
+                    own += [length] * (len(starts) - 1) + [(len(raw) - starts[-1]) // size]
                 if n + len(docs) > end:
                     raise RuntimeError("the documents changed between counting and writing")
                 slot = permute(np.arange(n, n + len(docs)), total, key)
@@ -119,11 +124,18 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:07d}.bin"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, which is Spark's default one for a path without scheme."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (
-        fs.LocalFileSystem(),
-        folder,
-    )
+    """The file system of a qualified folder; in the driver any folder may be given."""
+    spark = SparkSession.getActiveSession() if TaskContext.get() is None else None
+    if spark is not None:
+        folder = qualified(spark, folder)
+    return fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
 
 
 def _write(folder: str, stride: int, rows_each: int, total: int):
@@ -142,23 +154,27 @@ def _write(folder: str, stride: int, rows_each: int, total: int):
             store.move(name, f"{root}/{shard_name(shard)}")
 
         for batch in batches:
-            crc, places = [], []
-            columns = (batch.column(c).to_pylist() for c in ("shard", "slot", "ids"))
-            for s, slot, row in zip(*columns, strict=True):
+            if not batch.num_rows:
+                continue
+            shards, slots = (np.asarray(batch.column(c)) for c in ("shard", "slot"))
+            rows = batch.column("ids").to_pylist()
+            crc = [zlib.crc32(row) for row in rows]
+            places = (slots - shards.astype(np.int64) * rows_each) * stride
+            cuts = np.flatnonzero(np.diff(shards)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True):
+                s = int(shards[a])
                 if s != shard:
                     close()
                     shard, at = s, s * rows_each
                     name = f"{root}/.{shard_name(s)}.{TaskContext.get().taskAttemptId()}"
                     out = store.open_output_stream(name)
-                if slot != at:
-                    raise RuntimeError(f"slot {slot} stands where {at} should")
-                out.write(row.ljust(stride, b"\0"))
-                crc.append(zlib.crc32(row))
-                places.append((slot - s * rows_each) * stride)
-                at += 1
+                if (slots[a:b] != np.arange(at, at + b - a)).any():
+                    raise RuntimeError(f"slots from {slots[a]} on stand where {at} should")
+                out.write(b"".join([row.ljust(stride, b"\0") for row in rows[a:b]]))
+                at += b - a
             kept = [batch.column(c) for c in ("slot", "shard", "doc_id", "piece", "length")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(places, pa.int64()), pa.array(crc, pa.int64())],
+                [*kept, pa.array(places), pa.array(crc, pa.int64())],
                 names=["slot", "shard", "doc_id", "piece", "length", "byte_offset", "crc32"],
             )
         close()
@@ -184,6 +200,7 @@ def write_shards(
     ``<folder>/index`` and are what :func:`read` needs besides the shards.
     """
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     vocabulary = vocabulary or default_vocabulary()
     own = plain(docs, doc_id=doc_id, text=text)
     sized = own.mapInArrow(_sizes(vocabulary, length), "part bigint, n bigint, check bigint")
