@@ -1,3 +1,4 @@
+import re
 import random
 
 import numpy as np
