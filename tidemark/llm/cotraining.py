@@ -2,25 +2,30 @@
 
 One classifier sees the text's content (which words it has), the other the page's
 metadata: source, language, and measures of layout such as lengths of text, lines and
-words and the shares of capitals, digits and symbols, but no words. Each round, the pages
-without label that one view is surest about join the other view's training set with that
-label. In the end each view is calibrated on labelled pages held back from training, and
-the calibrated views are combined. This is done for two targets: ``quality`` (1 is good)
+words and the shares of capitals, digits and symbols, but no words. Each round, both views
+judge all pages, and the pages that one view is sure about are counted for the other view
+with that label. In the end the views are calibrated and combined, on logits of labelled pages
+from fits that did not see them. This is done for two targets: ``quality`` (1 is good)
 and ``toxic`` (1 is bad); a page stays when it is likely good and likely not toxic.
 
-The fit uses at most about ``LABELLED`` labelled and ``UNLABELLED`` other pages, picked by a
-hash of doc_id or, without one, of the row, so what comes to the driver is bounded as long as
-no doc_id is that of very many rows. The models have a fixed size;
-all documents are scored where they are read.
+What a view is told by the other one is a table of its features: in how many pages of either
+label each is. Tasks count all their pages and Spark adds the tables up, so the driver gets two
+numbers per hashed feature however many pages there are, and no page is left out of the
+exchange. Labelled pages take part in it like others. The fit itself uses at most about
+``LABELLED`` labelled pages, picked by a hash of doc_id. The models have a fixed size; all
+documents are scored where they are read.
 
 Null text is an empty text, null source or language a value of its own. Labels that are
 null are ignored, of several labels for a doc_id the worse counts. Where one of a target's
 classes has no labels, its probability is that of the labels there are (1 for quality and
-0 for toxic without any). An empty table gives no rows.
+0 for toxic without any). A probability of exactly one half is good, one of exactly ``TOXIC`` is
+toxic. Repeated rows are judged alike and count as often as they are there. Texts are read whole.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,14 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import each_slice, free_names, with_columns
-from tidemark.llm.text import Words, mix
+from tidemark.llm.text import Words, mix, slices
 
 LABELLED = 6000
-UNLABELLED = 4000
-ROUNDS = 3
+ROUNDS = 2
 SURE = 0.97
-ADDED = 0.05  # share of the unlabelled pages that a view may label in a round, per class
-HELD_BACK = 4  # one labelled page in so many calibrates
+FOLDS = 3  # a fit leaves out one labelled page in so many, and is calibrated on those
 TOXIC = 0.3  # a page at least this likely to be toxic goes
 BEGINNINGS = (4, 6, 8)  # bytes of a longer word that are a feature too
 TEXT_BITS, META_BITS = 19, 12
@@ -137,32 +140,49 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit(bags: Bags, y: np.ndarray, bits: int, steps: int = 80, decay: float = 2e-4) -> Linear:
-    """Logistic regression on features scaled by their log odds ratio; features of one page are left out."""
+@dataclass
+class Told:
+    """What one view has told the other: in how many pages of labels 0 and 1 each feature is, and the pages."""
+
+    counts: np.ndarray  # by label and feature
+    pages: np.ndarray  # by label
+
+
+def fit(bags: Bags, y: np.ndarray, bits: int, told: Told | None = None, steps: int = 60, decay: float = 2e-4) -> Linear:
+    """Logistic regression on features scaled by their log odds ratio; features of one page are left out.
+
+    The log odds are those of labelled pages and of the pages told, which count for as
+    much as the labelled ones of their label at most. All features share one weight, and those of
+    labelled pages have one of their own besides, so features known from others only count too.
+    """
     size = 1 << bits
-    seen = np.bincount(bags.features, minlength=size)
+    per_page = np.diff(bags.first)
+    seen = np.bincount(bags.features, minlength=size).astype(float)
+    good = np.bincount(bags.features, np.repeat(y.astype(np.float32), per_page), size)
+    counts, pages = np.stack((seen - good, good)), np.array([len(y) - y.sum(), y.sum()], float)
+    if told is not None:
+        share = np.minimum(1, pages / np.maximum(told.pages, 1))
+        counts += share[:, None] * told.counts
+        pages = pages + share * told.pages
+        seen = seen + told.counts.sum(0)
+    odds = np.log((counts[1] + 0.5) / (pages[1] + 1)) - np.log((counts[0] + 0.5) / (pages[0] + 1))
+    scale = np.where(seen > 1, odds, 0.0)
     common = seen[bags.features] > 1
     first = np.concatenate(([0], np.cumsum(common)))[bags.first]
     bags = Bags(bags.features[common], first)
     per_page = np.diff(first)
-    good = np.bincount(bags.features, np.repeat(y.astype(np.float32), per_page), size)
-    p = (good + 0.5) / (y.sum() + 1)
-    q = (seen - good + 0.5) / (len(y) - y.sum() + 1)
-    scale = np.where(seen > 1, np.log(p / q), 0.0)
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    spread = max(float(np.std(Linear(scale.astype(np.float32)).logits(bags))), 1e-6)
     rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-    bias, mb, vb = np.log(rate / (1 - rate)), 0.0, 0.0
-    for t in range(1, steps + 1):  # Adam on the full batch
-        error = sigmoid(Linear((w * scale).astype(np.float32), bias).logits(bags)) - y
-        spread = np.repeat(error.astype(np.float32), per_page)
-        g = np.bincount(bags.features, spread, size) * scale / len(y) + decay * w
+    # own weights, then the shared one, then the bias; all by Adam on the full batch
+    x, m, v = (np.zeros(size + 2) for _ in range(3))
+    x[-1] = np.log(rate / (1 - rate))
+    for t in range(1, steps + 1):
+        error = sigmoid(Linear(((x[:-2] + x[-2] / spread) * scale).astype(np.float32), x[-1]).logits(bags)) - y
+        own = np.bincount(bags.features, np.repeat(error.astype(np.float32), per_page), size) * scale / len(y)
+        g = np.concatenate((own + decay * x[:-2], [own.sum() / spread + decay * x[-2], error.mean()]))
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        gb = error.mean()
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
-        lr = 0.1
-        w -= lr * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        bias -= lr * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-8)
-    return Linear((w * scale).astype(np.float32), float(bias))
+        x -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+    return Linear(((x[:-2] + x[-2] / spread) * scale).astype(np.float32), float(x[-1]))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -204,53 +224,108 @@ class CoTrained:
         return sigmoid(np.column_stack((self.calibrated(bags), np.ones(n))) @ self.mixture)
 
 
-def co_train(bags: tuple[Bags, Bags], y: np.ndarray, held: np.ndarray, default: float, rounds: int = ROUNDS) -> CoTrained:
-    """Fit from pages with labels ``y`` (0, 1, or -1 for none); ``held`` pages calibrate only."""
-    labelled = y >= 0
-    train, check = np.flatnonzero(labelled & ~held), np.flatnonzero(labelled & held)
-    prior = float(y[labelled].mean()) if labelled.any() else default
-    if min(len(set(y[train].tolist())), len(set(y[check].tolist()))) < 2:
+def _rising(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Coefficients of a logistic regression with none below zero but the last, the constant."""
+    use = np.ones(x.shape[1], bool)
+    while True:
+        w = np.zeros(len(use))
+        w[use] = _logistic(x[:, use], y)
+        low = use[:-1] & (w[:-1] < 0)
+        if not low.any():
+            return w
+        use[np.flatnonzero(low)[np.argmin(w[:-1][low])]] = False
+
+
+def fitted(
+    bags: tuple[Bags, Bags], y: np.ndarray, fold: np.ndarray, default: float, told: tuple[Told | None, Told | None] = (None, None)
+) -> CoTrained:
+    """Both views from labelled pages (``y``, -1 for none) and what they were told, calibrated and combined.
+
+    Calibration and combination use each page's logits by fits without its fold.
+    """
+    known = np.flatnonzero(y >= 0)
+    prior = float(y[known].mean()) if len(known) else default
+    y, fold = y[known].astype(float), fold[known]
+    parts = [fold == f for f in np.unique(fold)]
+    if len(parts) < 2 or any(len(set(y[~out].tolist())) < 2 for out in parts):
         return CoTrained(None, prior)
-    pool = np.flatnonzero(~labelled)
-    most = max(1, int(ADDED * len(pool)))
-    told = [np.full(len(y), -1), np.full(len(y), -1)]  # what each view has been told by the other
-    bits = (TEXT_BITS, META_BITS)
-
-    def trained(k: int) -> Linear:
-        more = pool[told[k][pool] >= 0]
-        rows = np.concatenate((train, more))
-        return fit(bags[k].take(rows), np.concatenate((y[train], told[k][more])).astype(float), bits[k])
-
-    views = [trained(0), trained(1)]
-    for _ in range(rounds if len(pool) else 0):
-        for k in (0, 1):
-            p = sigmoid(views[k].logits(bags[k].take(pool)))
-            other = told[1 - k]
-            for label, sure in ((1, p), (0, 1 - p)):
-                order = np.argsort(-sure, kind="stable")
-                new = [i for i in order.tolist() if sure[i] >= SURE and other[pool[i]] < 0][:most]
-                other[pool[new]] = label
-        views = [trained(0), trained(1)]
-    model = CoTrained((views[0], views[1]), prior)
-    own = tuple(b.take(check) for b in bags)
-    truth = y[check].astype(float)
-    for v, b in zip(views, own, strict=True):
-        x = np.column_stack((np.clip(v.logits(b), -30, 30), np.ones(len(check))))
-        model.calibration.append(_logistic(x, truth))
-    model.mixture = _logistic(np.column_stack((model.calibrated(own), np.ones(len(check)))), truth)
+    model, apart = CoTrained(None, prior), []
+    views = []
+    for own, bits, said in zip(bags, (TEXT_BITS, META_BITS), told, strict=True):
+        own = own.take(known)
+        views.append(fit(own, y, bits, said))
+        logits = np.zeros(len(y))
+        for out in parts:
+            kept, left = np.flatnonzero(~out), np.flatnonzero(out)
+            logits[left] = fit(own.take(kept), y[kept], bits, said).logits(own.take(left))
+        logits = np.clip(logits, -30, 30)
+        model.calibration.append(_rising(np.column_stack((logits, np.ones(len(y)))), y))
+        apart.append(model.calibration[-1][0] * logits + model.calibration[-1][1])
+    model.views = (views[0], views[1])
+    model.mixture = _rising(np.column_stack((*apart, np.ones(len(y)))), y)
     return model
 
 
+class Exchange:
+    """Counts what each view tells the other about pages that it is sure of."""
+
+    def __init__(self, models: dict[str, CoTrained]):
+        self.models = {t: m for t, m in models.items() if m.views is not None}
+        self.told = {
+            t: tuple(Told(np.zeros((2, 1 << bits), np.int64), np.zeros(2, np.int64)) for bits in (TEXT_BITS, META_BITS))
+            for t in self.models
+        }
+
+    def add(self, bags: tuple[Bags, Bags]) -> None:
+        for target, model in self.models.items():
+            sure = sigmoid(model.calibrated(bags))
+            for k in (0, 1):
+                other, told = bags[1 - k], self.told[target][1 - k]
+                for label, pages in ((0, sure[:, k] <= 1 - SURE), (1, sure[:, k] >= SURE)):
+                    rows = np.flatnonzero(pages)
+                    told.pages[label] += len(rows)
+                    told.counts[label] += np.bincount(other.take(rows).features, minlength=told.counts.shape[1])
+
+
 def _views(texts: list[bytes], rows: pa.RecordBatch, names: tuple[str, ...]) -> tuple[Bags, Bags]:
     return text_view(texts), meta_view(texts, [rows.column(n).cast(pa.string()).to_pylist() for n in names])
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    labelled: int = LABELLED,
-    unlabelled: int = UNLABELLED,
-) -> dict[str, CoTrained]:
+def _told_by_all(docs: DataFrame, models: dict[str, CoTrained]) -> dict[str, tuple[Told, Told]]:
+    """The exchange over all documents: a row per task and feature is summed, the sums come to the driver."""
+    names = list(models)
+    codes = [(t, k) for t in names for k in (0, 1)]
+    pages = 1 << max(TEXT_BITS, META_BITS)  # the place after all features has the number of pages
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exchange = Exchange(models)
+        for batch in batches:
+            for rows, texts in slices(batch):
+                exchange.add(_views(texts, rows, ("source", "lang")))
+        for code, (t, k) in enumerate(codes):
+            if t not in exchange.told:
+                continue
+            told = exchange.told[t][k]
+            some = np.flatnonzero(told.counts.any(0))
+            place = np.concatenate((some, [pages])).astype(np.int32)
+            numbers = np.concatenate((told.counts[:, some], told.pages[:, None]), 1)
+            columns = [np.full(len(place), code, np.int32), place, numbers[0], numbers[1]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["code", "place", "n0", "n1"])
+
+    counted = docs.select("text", "source", "lang").mapInArrow(run, "code int, place int, n0 bigint, n1 bigint")
+    found = counted.groupBy("code", "place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    out = Exchange(models).told
+    for code, (t, k) in enumerate(codes):
+        own = found[found["code"] == code]
+        numbers, place = own[["n0", "n1"]].to_numpy(np.int64).T, own["place"].to_numpy()
+        at = place < pages
+        if len(own):
+            out[t][k].counts[:, place[at]] = numbers[:, at]
+            out[t][k].pages[:] = numbers[:, ~at].sum(1)
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> dict[str, CoTrained]:
     """Models for ``quality`` and ``toxic`` from documents (doc_id, text, source, lang) and their labels."""
     judged = (
         labels.select(F.col("doc_id").cast("bigint").alias("id"), "quality", "toxic")
@@ -258,23 +333,17 @@ def train(
         .groupBy("id")
         .agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
     )
-    # rows, not labels: many labels may be of pages that are not here
-    met = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).join(judged, F.col("doc_id") == F.col("id"), "left")
-    n_labels, n_docs = met.agg(F.count("id"), F.count(F.lit(1))).first()
-    rest = max(n_docs - n_labels, 1)
+    own = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
+    )
+    # pages with a label, not labels: many labels may be of pages that are not here
+    n_labels = own.select("doc_id").join(judged, F.col("doc_id") == F.col("id")).count()
     parts = 1 << 40
     low = int(parts * min(1.0, labelled / max(n_labels, 1)))
-    other = int(parts * min(1.0, unlabelled / rest))
-    # pages without id are told apart by row, or they would come all or none
-    row = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.monotonically_increasing_id(), F.lit(31)))
-    hashed = F.pmod(F.xxhash64(row, F.lit(29)), F.lit(parts))
-    few = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        "source", "lang", hashed.alias("part"),
-    ).where(F.col("part") < max(low, other))
-    own = few.join(judged, F.col("doc_id") == F.col("id"), "left").where(
-        F.when(F.col("id").isNull(), F.col("part") < other).otherwise(F.col("part") < low)
-    )
+    # by row too, so that one id of very many rows does not come as a whole
+    row = F.xxhash64("doc_id", F.xxhash64("text"), F.monotonically_increasing_id(), F.lit(29))
+    some = own.where(F.pmod(row, F.lit(parts)) < low).join(judged, F.col("doc_id") == F.col("id"))
 
     def step(rows: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         both = _views(texts, rows, ("source", "lang"))
@@ -287,19 +356,22 @@ def train(
         )
 
     schema = "doc_id bigint, quality int, toxic int, words binary, meta binary"
-    found = each_slice(own.drop("part", "id"), step, schema).toPandas()  # bounded by the two parameters
-    found = found.sort_values("doc_id", kind="stable")
+    found = each_slice(some.drop("id"), step, schema).toPandas()  # bounded by ``labelled``
+    found = found.sort_values(["doc_id", "words"], kind="stable")
     bags = []
     for name in ("words", "meta"):
         sizes = [len(x) // 4 for x in found[name]]
         bags.append(Bags(np.frombuffer(b"".join(found[name]), np.int32), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)))
-    found = found.drop(columns=["words", "meta"])  # the driver needs them once
-    ids = found["doc_id"].fillna(-1).to_numpy(np.int64)
-    held = np.array([xxhash.xxh64_intdigest(str(i)) % HELD_BACK == 0 for i in ids.tolist()], bool)
-    return {
-        target: co_train(tuple(bags), found[target].fillna(-1).to_numpy(np.int64), held, default)
-        for target, default in (("quality", 1.0), ("toxic", 0.0))
-    }
+    # copies of a page are in one fold: its words decide
+    fold = np.array([xxhash.xxh64_intdigest(x) % FOLDS for x in found["words"]], np.int64)
+    ys = {t: found[t].to_numpy(np.int64) for t in ("quality", "toxic")}
+    del found  # the driver needs the pages once
+    default = {"quality": 1.0, "toxic": 0.0}
+    models = {t: fitted(tuple(bags), y, fold, default[t]) for t, y in ys.items()}
+    for _ in range(rounds if any(m.views is not None for m in models.values()) else 0):
+        told = _told_by_all(own, models)
+        models = {t: fitted(tuple(bags), y, fold, default[t], told.get(t, (None, None))) for t, y in ys.items()}
+    return models
 
 
 def score(docs: DataFrame, models: dict[str, CoTrained], keep_text: bool = True) -> DataFrame:
