@@ -67,6 +67,13 @@ HEADLINE = (
     "null_profile",
     "runlog_summary",
     "load_metrics",
+    "recon_requested_rows",
+    "recon_authorized_rows",
+    "recon_amount_rows",
+    "missing_keys_by_runs",
+    "totals_month_amount",
+    "first_last_requests",
+    "rate_on_date",
 )
 RUNS = 3
 AT = datetime(2001, 7, 20, 5, 30)
@@ -82,7 +89,8 @@ def jobs(spark: SparkSession, folder: str) -> dict[str, Callable[[], object]]:
     """Jobs that write parquet.
 
     ``write_*`` are first loads, each run into a table of its own. ``again_*`` load one table
-    once, when they warm up, and then what has changed: 1 % of the source between runs.
+    once, when they warm up, and then what has changed: 1 % of the source between runs, which for
+    requests is scattered over all months or (``recent``) all in the last ones.
     """
     t = Tables(spark, folder)
     s = Sources(t.cardcollec, t.tickets, t.ticket_items, t.clients, t.developers)
@@ -92,22 +100,27 @@ def jobs(spark: SparkSession, folder: str) -> dict[str, Callable[[], object]]:
     def new() -> str:
         return f"{base}/t{next(n)}"
 
-    steps = {name: iter(range(10_000)) for name in ("requests", "collections", "clients")}
+    steps = {name: iter(range(10_000)) for name in ("requests", "recent", "collections", "clients")}
     kept = {name: new() for name in steps}
 
     def some(key: str, step: int):
         """The rows that are another 1 % in each step; none in the first one."""
         return (F.col(key) % 100 == step) & F.lit(step > 0)
 
-    def requests() -> None:
-        hit = some("indice", k := next(steps["requests"]))
+    last = t.redeems.agg(F.max("fcorreo")).first()[0]
+
+    def requests(name: str = "requests") -> None:
+        k = next(steps[name])
+        hit = some("indice", k)
+        if name == "recent":  # about 1 % of all days
+            hit = (F.col("fcorreo") > F.lit(last - timedelta(days=24))) & F.lit(k > 0)
         moved = t.redeems.withColumns(
             {
                 "monto": F.when(hit, F.col("monto") + k).otherwise(F.col("monto")).cast("decimal(11,2)"),
                 "updateat": F.when(hit, F.lit(AT + timedelta(days=k))).otherwise(F.col("updateat")).cast("timestamp_ntz"),
             }
         )
-        daily.sync_requested(kept["requests"], moved, t.clients, t.developers, AT)
+        daily.sync_requested(kept[name], moved, t.clients, t.developers, AT)
 
     def collections() -> None:
         hit = some("indice", k := next(steps["collections"]))
@@ -126,6 +139,7 @@ def jobs(spark: SparkSession, folder: str) -> dict[str, Callable[[], object]]:
 
     return {
         "again_requested_sync": requests,
+        "again_requested_recent": lambda: requests("recent"),
         "again_collections_month": collections,
         "again_client_append": clients,
         "write_phone_refresh": lambda: sync.refresh_table(t.phones, new(), AT),

@@ -71,6 +71,11 @@ def test_what_is_a_query(text, query):
     assert jdbc.size_query(text) == f"select count(*) as n from {f'({text.strip()}) q' if query else text}"
 
 
+def test_a_with_clause_goes_apart():
+    options = jdbc.read_options(URL, "select id from x", extra={"prepareQuery": "with x as (select 1 as id)"})
+    assert options["dbtable"] == "(select id from x) q" and options["prepareQuery"] == "with x as (select 1 as id)"
+
+
 def test_cut_points_split_all_rows():
     """The statements, run by DuckDB."""
     import duckdb

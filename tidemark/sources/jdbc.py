@@ -90,6 +90,9 @@ def read_table(
     With a ``key`` it is read in parallel: as many partitions as the row count asks for,
     cut where the database finds the key's quantiles, so that uneven keys give even
     partitions. ``cuts`` gives the cut points instead.
+
+    Some databases take no ``with`` inside a subquery, which Spark makes of every query. Give them the
+    clause apart, as ``prepareQuery="with x as (...)"``, and the rest of the query as the query.
     """
     if key and cuts is None:
         n = _rows(spark, url, size_query(table_or_query), extra)[0][0]
