@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import slices
 from tidemark.session import shared_dir
 
 
+BATCH = 1000
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """The rows written once to the shared folder, so that every later step sees the same ones."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def released(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files behind frames that nobody refers to any more.
+
+    It does so when the driver's JVM collects its garbage, which a driver with little to do puts off.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of ``BATCH`` rows between Spark and Python, where the session has the default of 10,000.
+
+    Rows have whole texts here: 10,000 of them are tens of megabytes, several times over in each task.
+    """
+    if spark.conf.get(_BATCHES) == "10000":
+        spark.conf.set(_BATCHES, str(BATCH))
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Names like the given ones that no column of ``df`` has, whatever the case."""
     taken = {c.lower() for c in df.columns}
@@ -32,6 +55,7 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 def plain(docs: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the names and types that the steps expect."""
+    small_batches(docs.sparkSession)
     return docs.select(*[F.col(f"`{c}`").cast(_TYPES[name]).alias(name) for name, c in columns.items()])
 
 
@@ -45,6 +69,7 @@ def each_slice(
     text: str = "text",
 ) -> DataFrame:
     """``step`` on slices of rows with their texts as bytes (null as empty), rows to rows."""
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,7 +13,8 @@ on the driver, of the words before by a shuffle, where a part by the context's h
 what the buckets hold and tells each bucket the totals of its own contexts.
 
 Steps: tasks count (word, context) pairs of their documents, all of them, chunk by chunk, and
-send them to their buckets once. A bucket adds up the chunks' counts, keeps which pairs each
+send them to their buckets once; nothing else of the documents is kept, the last step reads
+them again. A bucket adds up the chunks' counts, keeps which pairs each
 chunk has, and seats all customers; then it reseats them level by
 level, all parties of a level from the state before (an approximation of Gibbs sampling, see the
 README), for ``BURN`` sweeps and, with totals exchanged in between,
@@ -40,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import freeze, input_bytes, spread
+from tidemark.llm.frames import freeze, input_bytes, released, small_batches, spread
 from tidemark.llm.text import Words, mix, slices
 
 FLUSH_BYTES = 10_000_000
@@ -109,20 +110,26 @@ def _dealt(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _chunks(buckets: int):
-    """Rows of a chunk: one with its documents (bucket -1), one with its pairs for each bucket."""
+def _chunks(buckets: int, documents: bool):
+    """Rows of a chunk: its pairs for each bucket, or its documents (bucket -1).
+
+    Both come from the documents, read each time, so neither has to be stored.
+    """
 
     def out(chunk: int, ids: list, held: list, texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
         token, ending, counts = tokens(texts)
         word, at = np.unique(token, return_inverse=True)
         context, before = np.unique(contexts(token, ending, counts), return_inverse=True)
         kind, which = np.unique(at * len(context) + before, return_inverse=True)
+        own = kind // len(context)
+        if documents:
+            doc = np.array([0 if i is None else i for i in ids], np.int64)
+            known = np.array([i is not None for i in ids], np.uint8)
+            size = np.array([len(word), len(kind)], np.int64)
+            yield chunk, -1, _pack(doc, known, np.array(held, np.uint8), counts, which.astype(np.int32), _steps(own).astype(np.int32), size)
+            return
         train = np.repeat(~np.array(held, bool), counts)
         n = np.bincount(which[train], minlength=len(kind))
-        doc = np.array([0 if i is None else i for i in ids], np.int64)
-        known = np.array([i is not None for i in ids], np.uint8)
-        own = kind // len(context)
-        yield chunk, -1, _pack(doc, known, np.array(held, np.uint8), counts, which.astype(np.int32), own.astype(np.int32))
         word_cut = np.searchsorted(_dealt(word, buckets), np.arange(buckets + 1))
         kind_cut = np.searchsorted(own, word_cut)
         for b in range(buckets):
@@ -479,8 +486,11 @@ def _documents(n: float, v: float):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("bucket")
-        doc, known, held, counts, which, own = _unpack(group["blob"].iloc[0])
+        doc, known, held, counts, which, own, size = _unpack(group["blob"].iloc[0])
+        own = np.cumsum(own)
         parts = [_unpack(b) for b in group["blob"].iloc[1:]]
+        if group["bucket"].iloc[0] >= 0 or [sum(len(p[k]) for p in parts) for k in (1, 0)] != size.tolist():
+            raise RuntimeError("the documents changed between counting and scoring")
         log = np.concatenate([p[0] for p in parts]).astype(float)
         c = np.concatenate([p[1] for p in parts])
         base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
@@ -506,6 +516,8 @@ def score(
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row.
 
     A document is held out of training when crc32 of its doc_id as text is a multiple of 10.
+    ``docs`` are read twice and have to come in the same partitions, as tables of files do; if they do
+    not, that is an error.
     """
     held = F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("bigint").cast("string").cast("binary")) % 10 == 0, F.lit(False))
     own = docs.select(
@@ -513,18 +525,21 @@ def score(
         held.alias("held"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    buckets = spread(docs, input_bytes(docs, text), BUCKET_BYTES)
-    chunks = freeze(own.mapInArrow(_chunks(buckets), "chunk bigint, bucket bigint, blob binary"))
-    begun = freeze(chunks.where("bucket >= 0").groupBy("bucket").applyInPandas(_begin(buckets), _STATE))
+    small_batches(docs.sparkSession)
+    spark, buckets = docs.sparkSession, spread(docs, input_bytes(docs, text), BUCKET_BYTES)
+    pairs, documents = (own.mapInArrow(_chunks(buckets, d), "chunk bigint, bucket bigint, blob binary") for d in (False, True))
+    begun = freeze(pairs.groupBy("bucket").applyInPandas(_begin(buckets), _STATE))
+    released(spark)
     state = begun.where(f"part = {STATE}").select("bucket", "blob").groupBy("bucket")
     first, turns = _summed(begun), _exchange(begun, 0)
     burnt = freeze(state.cogroup(turns.groupBy("bucket")).applyInPandas(_burn(first, burn, buckets), _STATE))
     sums, turns = _summed(burnt), turns.unionByName(_exchange(burnt, 1))
+    released(spark)
     answers = state.cogroup(turns.groupBy("bucket")).applyInPandas(
         _answer(first, sums, burn, keep, buckets), "chunk bigint, bucket bigint, blob binary"
     )
     g = Totals(sums)
-    found = chunks.where("bucket < 0").unionByName(answers)
+    found = documents.unionByName(answers)
     return found.groupBy("chunk").applyInPandas(
         _documents(g.tokens, g.words),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "

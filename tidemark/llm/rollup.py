@@ -7,7 +7,8 @@ that died may simply run again. Totals add up all committed batches. ``compact``
 them into fewer rows without changing a total.
 
 Null source or language is a group of its own; null text has no token and counts as one
-document; repeated rows count each time; empty batches are committed too.
+document; repeated rows count each time; empty batches are committed too. Texts are counted whole, one at a
+time, so a very long one costs the memory of its own ids only.
 """
 
 from __future__ import annotations
