@@ -81,6 +81,7 @@ def test_the_exchange_counts_all_pages(spark, monkeypatch):
     """Over all documents, in tasks, the same numbers as in one place."""
     bags, y = _pages(300, 2)
     model = _model(bags, y, 0)
+    model.calibration = [np.array([0.1, 8.0]), np.array([0.1, -8.0])]  # sure of nearly all pages
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source", "lang").repartition(7)
     rows = docs.collect()
@@ -130,11 +131,14 @@ def test_conflicting_labels_count_as_the_worse(spark, docs, monkeypatch):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_bags_take(seed):
+def test_pages_of_bags(seed):
     bags, _ = _pages(50, seed)
-    some = bags[0].take(np.array([3, 3, 10]))
-    assert some.first.tolist()[0] == 0 and len(some.features) == some.first[-1]
-    assert (some.features[: some.first[1]] == some.features[some.first[1] : some.first[2]]).all()
+    some = np.arange(50) % 3 == 0
+    found = bags[0].where(some)
+    assert len(found.first) == 18 and found.first[-1] == len(found.features)
+    for i, page in enumerate(np.flatnonzero(some)):
+        mine = found.features[found.first[i] : found.first[i + 1]]
+        assert (mine == bags[0].features[bags[0].first[page] : bags[0].first[page + 1]]).all()
 
 
 @pytest.mark.parametrize("ids", ["own", "one"])

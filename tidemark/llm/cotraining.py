@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import each_slice, free_names, with_columns
 from tidemark.llm.text import Words, mix, slices
 
-LABELLED = 6000
+LABELLED = 4000
 ROUNDS = 2
 SURE = 0.97
 FOLDS = 3  # a fit leaves out one labelled page in so many, and is calibrated on those
@@ -63,11 +63,12 @@ class Bags:
     def pages(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
-    def take(self, rows: np.ndarray) -> Bags:
-        size = np.diff(self.first)[rows]
-        stop = np.cumsum(size)
-        at = np.repeat(self.first[:-1][rows] - (stop - size), size) + np.arange(size.sum())
-        return Bags(self.features[at], np.concatenate(([0], stop)))
+    def among(self, pages: np.ndarray) -> np.ndarray:
+        """The features of the flagged pages, one page after the other."""
+        return self.features[np.repeat(pages, np.diff(self.first))]
+
+    def where(self, pages: np.ndarray) -> Bags:
+        return Bags(self.among(pages), np.concatenate(([0], np.cumsum(np.diff(self.first)[pages]))))
 
 
 def _bags(page: np.ndarray, feature: np.ndarray, pages: int, bits: int) -> Bags:
@@ -148,7 +149,7 @@ class Told:
     pages: np.ndarray  # by label
 
 
-def fit(bags: Bags, y: np.ndarray, bits: int, told: Told | None = None, steps: int = 60, decay: float = 2e-4) -> Linear:
+def fit(bags: Bags, y: np.ndarray, bits: int, told: Told | None = None, steps: int = 40, decay: float = 2e-4) -> Linear:
     """Logistic regression on features scaled by their log odds ratio; features of one page are left out.
 
     The log odds are those of labelled pages and of the pages told, which count for as
@@ -243,8 +244,8 @@ def fitted(
 
     Calibration and combination use each page's logits by fits without its fold.
     """
-    known = np.flatnonzero(y >= 0)
-    prior = float(y[known].mean()) if len(known) else default
+    known = y >= 0
+    prior = float(y[known].mean()) if known.any() else default
     y, fold = y[known].astype(float), fold[known]
     parts = [fold == f for f in np.unique(fold)]
     if len(parts) < 2 or any(len(set(y[~out].tolist())) < 2 for out in parts):
@@ -252,12 +253,11 @@ def fitted(
     model, apart = CoTrained(None, prior), []
     views = []
     for own, bits, said in zip(bags, (TEXT_BITS, META_BITS), told, strict=True):
-        own = own.take(known)
+        own = own if known.all() else own.where(known)
         views.append(fit(own, y, bits, said))
         logits = np.zeros(len(y))
         for out in parts:
-            kept, left = np.flatnonzero(~out), np.flatnonzero(out)
-            logits[left] = fit(own.take(kept), y[kept], bits, said).logits(own.take(left))
+            logits[out] = fit(own.where(~out), y[~out], bits, said).logits(own.where(out))
         logits = np.clip(logits, -30, 30)
         model.calibration.append(_rising(np.column_stack((logits, np.ones(len(y)))), y))
         apart.append(model.calibration[-1][0] * logits + model.calibration[-1][1])
@@ -282,9 +282,8 @@ class Exchange:
             for k in (0, 1):
                 other, told = bags[1 - k], self.told[target][1 - k]
                 for label, pages in ((0, sure[:, k] <= 1 - SURE), (1, sure[:, k] >= SURE)):
-                    rows = np.flatnonzero(pages)
-                    told.pages[label] += len(rows)
-                    told.counts[label] += np.bincount(other.take(rows).features, minlength=told.counts.shape[1])
+                    told.pages[label] += int(pages.sum())
+                    told.counts[label] += np.bincount(other.among(pages), minlength=told.counts.shape[1])
 
 
 def _views(texts: list[bytes], rows: pa.RecordBatch, names: tuple[str, ...]) -> tuple[Bags, Bags]:
