@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tests.conftest import plan, rows
 from tidemark.operators import asof, extremes, intervals, load, merge, profiles, totals
 from tidemark.plans import collections as coll
-from tidemark.plans import kept, runlog
+from tidemark.plans import daily, kept, runlog, sync
 from tidemark.sources import keyed
+from tidemark.sources.snapshots import current
 from tidemark.streaming import changes
 
 AT = datetime(2001, 7, 20, 5, 30)
@@ -64,6 +65,26 @@ def test_recorded_keys_are_read_instead_of_the_target(spark, tmp_path):
     assert kept.repair(source.where("k > 0"), str(tmp_path / "none"), "k", AT).isEmpty()
 
 
+def test_loads_keep_their_keys_and_repairs_read_nothing_else(spark, tmp_path, monkeypatch):
+    root, runs, path = (str(tmp_path / n) for n in ("table", "runs", "source"))
+    spark.range(1, 3001).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(path)
+    source = spark.read.parquet(path)
+    gap = "k not between 500 and 520 and k <= 2000"
+    assert kept.append_recorded(source.where(gap), root, runs, "k", AT).count() == 1979
+    # a job that died before it recorded its load
+    sync.append_load(source.where("k <= 2500 and k <> 2222"), root, "k", AT)
+    assert kept.held_keys(spark, runs).agg(F.sum("n")).first()[0] == 1979
+    good = kept.repair_missing_by_runs
+    plans = []
+    monkeypatch.setattr(kept, "repair_missing_by_runs", lambda *a, **k: plans.append(good(*a, **k)) or plans[-1])
+    fixed = kept.repair_recorded(source, root, runs, "k", AT)
+    assert sorted(r.k for r in fixed.collect()) == [*range(500, 521), 2222]
+    assert "/table/" not in plan(plans[0])
+    assert kept.repair_recorded(source, root, runs, "k", AT).count() == 0
+    assert sorted(r.k for r in current(spark, root, "load").collect()) == list(range(1, 2501))
+    assert kept.catch_up(spark, root, runs, "k") == []
+
+
 # --- signed changes, totals, extremes
 
 TABLE = "k long, c long, ym int, d date, m decimal(10,2)"
@@ -160,6 +181,21 @@ def test_any_batch_size_folds_to_the_last_changes(spark, tables, tmp_path, files
     assert run() == rows(coll.last_changes(everything, ym)) != expected
 
 
+def test_a_load_from_folded_changes_is_that_from_the_log(spark, tables, tmp_path):
+    t, ym, base = tables, 202401, str(tmp_path)
+    sources = coll.Sources(t.cardcollec, t.tickets, t.ticket_items, t.clients, t.developers)
+    t.colleclog.write.parquet(f"{base}/log")
+    stream = spark.readStream.schema(t.colleclog.schema).parquet(f"{base}/log")
+    changes.fold_changes(stream, f"{base}/last", f"{base}/check").awaitTermination()
+    folded = changes.folded_changes(spark, f"{base}/last", ym)
+    found = []
+    for name, log, last in (("a", t.colleclog, None), ("b", t.colleclog.limit(0), folded)):
+        daily.load_collections(f"{base}/{name}", sources, t.colleclog, AT, 199501, 199912)
+        daily.load_collections(f"{base}/{name}", sources, log, AT, ym, last=last)
+        found.append(rows(current(spark, f"{base}/{name}", "aniomes").drop("aniomes")))
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
 def test_only_the_month_asked_for_is_read(spark, tables, tmp_path):
     base = str(tmp_path)
     tables.colleclog.write.parquet(f"{base}/log")

@@ -183,9 +183,13 @@ def late_changes(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
     return unseen_changes(last_changes(log, ym), history)
 
 
-def late_keys(log: DataFrame, history: DataFrame, ym: int) -> DataFrame:
-    """The collections with late changes, frozen; a few are sent to the tables they are in."""
-    changes = frozen(last_changes(log, ym))
+def late_keys(log: DataFrame, history: DataFrame, ym: int, last: DataFrame | None = None) -> DataFrame:
+    """The collections with late changes, frozen; a few are sent to the tables they are in.
+
+    ``last`` are the month's last changes, where they are kept (``streaming.changes``); the log is
+    not read then.
+    """
+    changes = frozen(last_changes(log, ym) if last is None else last)
     small = is_small(changes)
     unseen = unseen_changes(hinted(changes, small), history, small)
     return measured(unseen.select("cardcollec_id"))

@@ -106,9 +106,13 @@ def load_collections(
     at: datetime,
     ym: int | None = None,
     ym_to: int | None = None,
+    last: DataFrame | None = None,
 ) -> list:
     """Load a month (the one before ``at`` if none is given) and its late changes.
 
+    ``last`` are the last changes of that month, where a stream folds them
+    (``streaming.changes.folded_changes``); else they are found in the whole log.
+
     With ``ym_to`` the whole range of months is loaded as one job, without
     late changes: every month in it is read anyway.
     """
@@ -117,7 +121,7 @@ def load_collections(
     history = current(spark, root, MONTH)
     late = None
     if history is not None and ym_to is None:
-        late = coll.late_keys(log, history, ym)
+        late = coll.late_keys(log, history, ym, last)
     rows = coll.collections(sources, ym, ym_to, late)
     return sync_by_month(
         root,

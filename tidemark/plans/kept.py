@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import intervals
 from tidemark.operators.load import repair_missing_by_runs
 from tidemark.operators.totals import added_up, signed_totals
+from tidemark.plans.sync import add_load, append_load
+from tidemark.sources import snapshots
 from tidemark.sources.snapshots import current, publish
 
 
@@ -47,6 +49,43 @@ def repair(source: DataFrame, root: str, key: str, at: datetime | str, width: in
     return repair_missing_by_runs(source, held, key, at, width)
 
 
+def catch_up(spark: SparkSession, root: str, runs_root: str, key: str, width: int = intervals.WIDTH) -> list[int]:
+    """Record the keys of all loads of the table at ``root`` that are not recorded yet; returns these loads.
+
+    Reads those loads only. A job that died between writing a load and recording it loses nothing.
+    """
+    loads = lambda r: {int(n.partition("=")[2]) for n in snapshots.partitions(spark, r, "load")}
+    new = sorted(loads(root) - loads(runs_root))
+    for load in new:
+        rows = current(spark, root, "load", [load])
+        if rows is None:  # a load of no rows
+            rows = spark.createDataFrame([], f"`{key}` bigint")
+        record_keys(runs_root, rows, key, load, width)
+    return new
+
+
+def append_recorded(source: DataFrame, root: str, runs_root: str, key: str, at: datetime | str) -> DataFrame:
+    """Append source rows above the watermark as a load, and keep its keys; returns the load."""
+    new = append_load(source, root, key, at)
+    catch_up(source.sparkSession, root, runs_root, key)
+    return new
+
+
+def repair_recorded(
+    source: DataFrame, root: str, runs_root: str, key: str, at: datetime | str, width: int = intervals.WIDTH
+) -> DataFrame:
+    """Append what earlier loads left out, found by their runs alone; returns the load.
+
+    If another run appends a load meanwhile, this one ends with ``StaleTable`` and adds nothing.
+    """
+    spark = source.sparkSession
+    seen = snapshots.state(spark, root)
+    catch_up(spark, root, runs_root, key, width)
+    new = add_load(repair(source, runs_root, key, at, width), root, key, None, seen)
+    catch_up(spark, root, runs_root, key, width)
+    return new
+
+
 def record_totals(
     root: str, signed: DataFrame, by: Mapping[str, Column], sums: Mapping[str, Column], load: int
 ) -> None:

@@ -108,7 +108,8 @@ def _watermark(seen: snapshots.State, table: DataFrame | None, key: str) -> int:
     return max_key(table, key).first()[0]
 
 
-def _add_load(new: DataFrame, root: str, key: str, load: int | None, seen: snapshots.State) -> DataFrame:
+def add_load(new: DataFrame, root: str, key: str, load: int | None, seen: snapshots.State) -> DataFrame:
+    """Write rows as a load on top of the state they were found from."""
     number = _free_load(seen, load)
     new = frozen(new).withColumn("load", F.lit(number))
     top = max_key(new, key).first()[0]
@@ -129,7 +130,7 @@ def append_load(
     table = current(source.sparkSession, root, "load", at=seen)
     mark = _watermark(seen, table, key)
     target = source.limit(0) if table is None else table
-    return _add_load(append_incremental(source, target, key, at, mark), root, key, load, seen)
+    return add_load(append_incremental(source, target, key, at, mark), root, key, load, seen)
 
 
 def append_product_load(
@@ -146,7 +147,7 @@ def append_product_load(
     table = current(source.sparkSession, root, "load", at=seen)
     target = source.limit(0) if table is None else table
     new = append_products(source, target, key, at, products, column)
-    return _add_load(new, root, key, load, seen)
+    return add_load(new, root, key, load, seen)
 
 
 def repair_load(
@@ -159,7 +160,7 @@ def repair_load(
     seen = snapshots.state(source.sparkSession, root)
     table = current(source.sparkSession, root, "load", at=seen)
     target = source.limit(0) if table is None else table
-    return _add_load(repair_missing(source, target, key, at), root, key, load, seen)
+    return add_load(repair_missing(source, target, key, at), root, key, load, seen)
 
 
 def refresh_table(source: DataFrame, root: str, at: datetime | str) -> DataFrame:
