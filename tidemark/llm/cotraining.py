@@ -31,10 +31,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import each_slice, free_names, with_columns
+from tidemark.llm.frames import each_slice, free_names, released, with_columns
 from tidemark.llm.text import Words, mix, slices
 
 LABELLED = 4000
@@ -43,7 +44,8 @@ SURE = 0.97
 FOLDS = 3  # a fit leaves out one labelled page in so many, and is calibrated on those
 TOXIC = 0.3  # a page at least this likely to be toxic goes
 BEGINNINGS = (4, 6, 8)  # bytes of a longer word that are a feature too
-TEXT_BITS, META_BITS = 19, 12
+TEXT_BITS, META_BITS = 18, 12
+_BLOCK = 1 << 14
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[97:123] = 1
@@ -294,7 +296,7 @@ def _told_by_all(docs: DataFrame, models: dict[str, CoTrained]) -> dict[str, tup
     """The exchange over all documents: a row per task and feature is summed, the sums come to the driver."""
     names = list(models)
     codes = [(t, k) for t in names for k in (0, 1)]
-    pages = 1 << max(TEXT_BITS, META_BITS)  # the place after all features has the number of pages
+    pages = _BLOCK * -(-(1 << max(TEXT_BITS, META_BITS)) // _BLOCK)  # the block after all features has the number of pages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exchange = Exchange(models)
@@ -311,16 +313,24 @@ def _told_by_all(docs: DataFrame, models: dict[str, CoTrained]) -> dict[str, tup
             columns = [np.full(len(place), code, np.int32), place, numbers[0], numbers[1]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["code", "place", "n0", "n1"])
 
+    def packed(key: tuple, rows: pa.Table) -> pa.Table:
+        """A block of places as one compressed table, so that little comes to the driver at once."""
+        block = np.zeros((2, _BLOCK), np.int64)
+        block[:, np.asarray(rows["place"]) % _BLOCK] = np.stack([np.asarray(rows[c]) for c in ("n0", "n1")])
+        return pa.table({"code": pa.array([key[0].as_py()], pa.int64()), "block": [key[1].as_py()], "n": [zstandard.compress(block.tobytes(), 3)]})
+
     counted = docs.select("text", "source", "lang").mapInArrow(run, "code int, place int, n0 bigint, n1 bigint")
-    found = counted.groupBy("code", "place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    summed = counted.groupBy("code", "place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    blocks = summed.groupBy("code", F.expr(f"place div {_BLOCK}").alias("block")).applyInArrow(packed, "code bigint, block bigint, n binary")
     out = Exchange(models).told
-    for code, (t, k) in enumerate(codes):
-        own = found[found["code"] == code]
-        numbers, place = own[["n0", "n1"]].to_numpy(np.int64).T, own["place"].to_numpy()
-        at = place < pages
-        if len(own):
-            out[t][k].counts[:, place[at]] = numbers[:, at]
-            out[t][k].pages[:] = numbers[:, ~at].sum(1)
+    for code, block, raw in blocks.toLocalIterator():
+        told = out[codes[code][0]][codes[code][1]]
+        n = np.frombuffer(zstandard.decompress(raw), np.int64).reshape(2, _BLOCK)
+        at = block * _BLOCK
+        if at >= pages:
+            told.pages[:] = n[:, 0]
+        else:
+            told.counts[:, at : at + _BLOCK] = n[:, : told.counts.shape[1] - at]
     return out
 
 
@@ -365,10 +375,12 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds:
     fold = np.array([xxhash.xxh64_intdigest(x) % FOLDS for x in found["words"]], np.int64)
     ys = {t: found[t].to_numpy(np.int64) for t in ("quality", "toxic")}
     del found  # the driver needs the pages once
+    released(docs.sparkSession)
     default = {"quality": 1.0, "toxic": 0.0}
     models = {t: fitted(tuple(bags), y, fold, default[t]) for t, y in ys.items()}
     for _ in range(rounds if any(m.views is not None for m in models.values()) else 0):
         told = _told_by_all(own, models)
+        released(docs.sparkSession)
         models = {t: fitted(tuple(bags), y, fold, default[t], told.get(t, (None, None))) for t, y in ys.items()}
     return models
 
