@@ -304,6 +304,7 @@ def _open_buckets(buckets: DataFrame, roots: DataFrame, block: int) -> DataFrame
         blocks(F.col("n") - F.col("l.m")).alias("others"),
     )
     found = labelled.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    found = freeze(found)  # both kinds of rows come from it
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     at_home = found.withColumn("other", upto("others")).withColumn("guest", F.lit(False))
     # the outsiders of a bucket of one block are at home there
