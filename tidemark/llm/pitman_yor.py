@@ -16,8 +16,8 @@ Steps: tasks count (word, context) pairs of their documents, all of them, chunk
 send them to their buckets once; nothing else of the documents is kept, the last step reads
 them again. A bucket adds up the chunks' counts, keeps which pairs each
 chunk has, and seats all customers; then it reseats them level by
-level, all parties of a level from the state before (an approximation of Gibbs sampling, see the
-README), for ``BURN`` sweeps and, with totals exchanged in between,
+level, each party's own tables taken out of its parent first, all parties of a level from the state
+before (see the README for how near that is to an exact sampler), for ``BURN`` sweeps and, with totals exchanged in between,
 ``KEEP`` more, whose predictive probabilities are averaged. It answers each chunk with the
 probabilities of the pairs that the chunk holds, and the chunk's documents add theirs up. The
 burnt-in seating is not stored: the last step repeats those sweeps from the same seed. A
@@ -239,13 +239,36 @@ class Bucket:
         p2 = (self.c2 - d2 * self.t2 + (STRENGTH + d2 * g.t2[k]) * p1[self.up]) / (STRENGTH + g.c2[k])
         return p0, p1, p2
 
+    def apart(self, g: Totals, level: int, at: np.ndarray, gone: np.ndarray) -> np.ndarray:
+        """The probabilities of some rows of a level, each after ``gone`` of its own customers have left.
+
+        Tables that are more than the customers left go as well, and their customers above.
+        """
+        c1, c0 = self.counts()
+        if level == 2:
+            customers, tables, above, all_c, all_t = self.c2, self.t2, self.up, g.c2[self.context[at]], g.t2[self.context[at]]
+        elif level == 1:
+            customers, tables, above, all_c, all_t = c1, self.t1, self.of1, g.c1[self.context1[at]], g.t1[self.context1[at]]
+        else:
+            customers, tables, above, all_c, all_t = c0, self.t0, None, g.c0, g.t0
+        d = g.discounts[level]
+        left = customers[at] - gone
+        held = np.minimum(tables[at], left)
+        less = tables[at] - held
+        parent = 1 / (g.words + 1) if above is None else self.apart(g, level - 1, above[at], less)
+        return (left - d * held + (STRENGTH + d * (all_t - less)) * parent) / (STRENGTH + all_c - gone)
+
     def sweep(self, g: Totals, rng: np.random.Generator) -> None:
-        """Reseat the customers of every word in every restaurant, from the leaves to the root."""
+        """Reseat the customers of every word in every restaurant, from the leaves to the root.
+
+        A party's own tables are taken out of its parent restaurant first.
+        """
         d0, d1, d2 = g.discounts
-        p0, p1, _ = self.probabilities(g)
-        self.t2 = seat(self.c2, p1[self.up], g.t2[self.context] - self.t2, d2, rng)
+        p1 = self.apart(g, 1, self.up, self.t2)
+        self.t2 = seat(self.c2, p1, g.t2[self.context] - self.t2, d2, rng)
         c1, _ = self.counts()
-        self.t1 = seat(c1, p0[self.of1], g.t1[self.context1] - self.t1, d1, rng)
+        p0 = self.apart(g, 0, self.of1, self.t1)
+        self.t1 = seat(c1, p0, g.t1[self.context1] - self.t1, d1, rng)
         _, c0 = self.counts()
         base = np.full(len(c0), 1 / (g.words + 1))
         self.t0 = seat(c0, base, g.t0 - self.t0, d0, rng)
@@ -349,9 +372,9 @@ class Pairs:
         return (self.c3 - d * self.t3 + (STRENGTH + d * tables) * p2) / (STRENGTH + self.c_all[k])
 
     def sweep(self, g: Totals, rng: np.random.Generator) -> None:
-        p2 = self.upper.probabilities(g)[2]
+        p2 = self.upper.apart(g, 2, self.up, self.t3)
         others = (self.t_others + self.own(self.t3))[self.at] - self.t3
-        self.seated(seat(self.c3, p2[self.up], others, self.discount, rng))
+        self.seated(seat(self.c3, p2, others, self.discount, rng))
         self.upper.sweep(g, rng)
 
 
