@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.frames import each_slice, free_names, freeze, with_columns
+from tidemark.llm.frames import each_slice, free_names, freeze, with_columns, released
 from tidemark.llm.text import SLICE_BYTES, Words, binary, mix, windows
 
 SHINGLE = 5
@@ -367,9 +367,11 @@ def classes_and_links(
         return own.join(ids, ["id", "key"]).select("node", "text")
 
     links = freeze(_confirmed(first, texts(first), percent, k))
+    released(docs.sparkSession)  # texts that were shuffled for the first round
 
     roots = components(links.toDF("u", "v"))
     open_ = freeze(_open_buckets(buckets, roots, block))
+    released(docs.sparkSession)
     # signature and text meet once per document, then go to all groups that it is in
     held = classes.select("node", "sign").join(_packed(texts_of(open_)), "node")
     whole = open_.join(held, "node")
