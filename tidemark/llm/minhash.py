@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.frames import each_slice, free_names, freeze, with_columns, released
+from tidemark.llm.frames import each_slice, free_names, freeze, released, with_columns
 from tidemark.llm.text import SLICE_BYTES, Words, binary, mix, windows
 
 SHINGLE = 5
