@@ -247,6 +247,19 @@ def test_overlaps_against_all_pairs(spark):
             assert rows(runlog.overlaps(df, until=until, hours=hours)) == sorted(expected, key=repr)
 
 
+def test_overlaps_deal_out_earlier_runs_only(spark):
+    start = datetime(2024, 1, 1)
+    log = [(i, "x", start + timedelta(minutes=7 * (i // 2)), start + timedelta(minutes=7 * i + 90)) for i in range(30)]
+    log.append((None, "x", start, start + timedelta(minutes=5)))
+    df = spark.createDataFrame(log, "id long, tabla_destino string, fecha_inicio timestamp_ntz, fecha_fin timestamp_ntz")
+    df = df.withColumn("estado", F.lit("OK"))
+    plain, text = runlog.overlaps(df), runlog.overlaps(df, text=True)
+    assert rows(text) == rows(plain.withColumns({c: F.col(c).cast("string") for c in ("desde", "hasta")}))
+    # a run without a number is the earlier one of those that start together
+    assert [(None, 0), (None, 1)] == [(r[1], r[2]) for r in rows(plain) if r[1] is None]
+    assert plan(text).count("Generate explode") == 1 and "BroadcastHashJoin" not in plan(text)
+
+
 def test_profiles_add_up(spark):
     df = spark.range(20_000).select((F.col("id") % 12).alias("mes"), F.when(F.col("id") % 10 > 0, F.col("id") % 3000).alias("v"))
     months = profiles.profile(df, [F.col("mes")], ["v"])
