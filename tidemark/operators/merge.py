@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import as_ntz, changed
 from tidemark.operators.aggregates import max_key, one_per_key
+from tidemark.operators.sizes import dealt
 from tidemark.operators.totals import SIGN
 
 INSERTED, UPDATED, UNCHANGED, KEPT = "I", "U", "=", "K"
@@ -70,7 +72,7 @@ def pending_row(
 
 
 def _sides(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool
+    target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool, filtered: bool = False
 ) -> DataFrame:
     """Target and source side by side on their keys, columns prefixed t_ and s_."""
 
@@ -79,6 +81,9 @@ def _sides(
         return df.select(*keys, *rest, F.lit(True).alias(prefix))
 
     t, s = side(target, "t_"), side(source, "s_")
+    if filtered and not small_source:
+        new = s.join(t.select(*keys), list(keys), "left_anti")
+        return t.join(s, list(keys), "left").unionByName(new, allowMissingColumns=True)
     if not small_source:
         return t.join(s, list(keys), "full_outer")
     # A few new rows against a large table: the table is scanned twice (whole,
@@ -109,6 +114,7 @@ def upsert(
     stamp_cols: Sequence[str] = (),
     at: datetime | str | None = None,
     small_source: bool = False,
+    filtered: bool = False,
 ) -> DataFrame:
     """The table after the new rows went in, with the columns of ``target``.
 
@@ -117,13 +123,15 @@ def upsert(
     only where one of ``stamp_cols`` really differs; an insert leaves it null.
     ``order`` reduces a source that may repeat a key; leave it out for a source
     already unique. ``small_source`` broadcasts the source: set it only after
-    its size has been checked, as ``tidemark.plans.sync`` does.
+    its size has been checked, as ``tidemark.plans.sync`` does. ``filtered`` is for a result
+    of which a filter on its keys leaves little: a left and an anti join let the filter through
+    to both sides, which a full outer join does not.
     """
     if stamp is not None and at is None:
         raise ValueError(f"{stamp} needs the time to set")
     if order is not None:
         source = one_per_key(source, keys, order)
-    joined = _sides(target, source, keys, small_source)
+    joined = _sides(target, source, keys, small_source, filtered)
     action = _action(keys, stamp_cols)
     has = set(source.columns)
 
@@ -171,13 +179,25 @@ def captured(
         F.when(was, F.struct(F.lit(-1).alias(sign), *[F.col("t_" + c).alias(c) for c in cols])),
         F.struct(F.lit(1).alias(sign), *[now[c].alias(c) for c in cols]),
     )
+    new, old = dealt([new, old], keys)
     rows = new.join(old, list(keys), "left").where(~was | differs)
     return rows.select(*keys, F.explode(both).alias("_row")).where("_row is not null").select(*keys, "_row.*")
 
 
-def removed(target: DataFrame, bad: DataFrame, keys: Sequence[str], cols: Sequence[str], sign: str = SIGN) -> DataFrame:
-    """What a delete of the keys in ``bad`` changes: the rows that go, with sign -1."""
-    gone = target.select(*keys, *cols).join(bad.select(*keys).distinct(), list(keys), "left_semi")
+def removed(
+    target: DataFrame, bad: DataFrame | Column, keys: Sequence[str], cols: Sequence[str], sign: str = SIGN
+) -> DataFrame:
+    """What a delete of the keys in ``bad`` changes: the rows that go, with sign -1.
+
+    ``bad`` are rows with these keys, or a condition on the keys alone, which needs no join.
+    """
+    rows = target.select(*keys, *cols)
+    if isinstance(bad, Column):
+        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        gone = rows.where(known & bad)
+    else:
+        rows, names = dealt([rows, bad.select(*keys)], keys)
+        gone = rows.join(names.distinct(), list(keys), "left_semi")
     return gone.withColumn(sign, F.lit(-1))
 
 

@@ -1,4 +1,4 @@
-"""Broadcast behind a size.
+"""Broadcast behind a size, and tasks whose number follows the size.
 
 A few changed keys against a large table should be sent to the table, not the
 table shuffled to meet them. Spark cannot know how many keys a window or a join
@@ -9,11 +9,16 @@ ways give the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
 
+# A task of a join or fold by key is to hold the rows of so many bytes of files.
+PART_BYTES = 8 << 20
+
 
 def frozen(rows: DataFrame) -> DataFrame:
     """The rows as they are now, in reliable storage: every later step sees the same."""
@@ -54,3 +59,22 @@ def measured(rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Frozen rows that joins may broadcast if they are small."""
     rows = frozen(rows)
     return hinted(rows, is_small(rows, limit))
+
+
+def file_bytes(rows: DataFrame) -> int:
+    """The sizes of the tables that the rows are read from, as Spark knows them; others count nothing."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 50)
+
+
+def dealt(frames: Sequence[DataFrame], keys: Sequence[str], part: int | None = None) -> list[DataFrame]:
+    """Tables dealt out by key to as many tasks as their files are large, all to the same number.
+
+    Spark merges small partitions up to a size on disk, and sorted rows of that size are many
+    times larger in memory. Tables that are no more parts than there are cores stay as they are.
+    """
+    n = -(-sum(file_bytes(f) for f in frames) // (part or PART_BYTES))
+    if n <= frames[0].sparkSession.sparkContext.defaultParallelism:
+        return list(frames)
+    return [f.repartition(n, *keys) for f in frames]
