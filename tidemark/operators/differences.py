@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sizes import frozen, measured
+from tidemark.operators.sizes import dealt, frozen, measured
 
 WIDTH = 4096
 BLOCK = 256
@@ -117,9 +117,10 @@ def differing_rows(
     mine = opened[0].withColumns({"_ours": n, "_other": none})
     theirs = opened[1].withColumns({"_ours": none, "_other": n})
     month = lambda side: F.min(F.when(F.col(side).isNotNull(), F.col("_month")))
+    # keys hardly repeat, so folding before the shuffle would only fill a map per task
+    rows = dealt([_signed(mine, theirs, _SUMS)], names)[0]
     folded = (
-        _signed(mine, theirs, _SUMS)
-        .groupBy(*names)
+        rows.groupBy(*names)
         .agg(
             month("_ours").alias("mes_origen"),
             month("_other").alias("mes_destino"),
