@@ -339,6 +339,7 @@ def classes_and_links(
     block: int = BLOCK,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sets of all rows; classes (node, print, smallest doc_id); links between nodes."""
+    released(docs.sparkSession)  # what an earlier step shuffled
     sets = freeze(_sets(docs, doc_id, text, k, hashes)).withColumn("row", F.monotonically_increasing_id())
     order = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "row")
     best = sets.where("n > 0").groupBy("print").agg(F.min(order).alias("first"))
@@ -352,6 +353,7 @@ def classes_and_links(
     stars = buckets.join(pivots, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     least = least_agreement(percent, hashes)
     first = freeze(_agreeing(stars, classes, least))
+    released(docs.sparkSession)  # buckets and signatures that were shuffled for it
 
     def texts(pairs: DataFrame) -> DataFrame:
         return texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
@@ -373,7 +375,8 @@ def classes_and_links(
     open_ = freeze(_open_buckets(buckets, roots, block))
     released(docs.sparkSession)
     # signature and text meet once per document, then go to all groups that it is in
-    held = classes.select("node", "sign").join(_packed(texts_of(open_)), "node")
+    held = freeze(classes.select("node", "sign").join(_packed(texts_of(open_)), "node"))
+    released(docs.sparkSession)  # whole texts that were shuffled to be packed
     whole = open_.join(held, "node")
     rest = _dealt(whole).mapInArrow(
         _links_across(least, percent, k, *bands(percent, hashes)), "a bigint, b bigint"
