@@ -1,5 +1,7 @@
 """Tasks whose number follows the size of the tables, and filters that pass an upsert."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +63,16 @@ def test_a_key_filter_passes_a_filtered_upsert(sides):
     text = plan(some)
     assert "FullOuter" not in text and text.count("FileScan") == text.count("% 41) = 0") // 2 == 4
     assert rows(some) == rows(merge.upsert(old, new, KEYS).where("k % 41 = 0"))
+
+
+def test_frozen_rows_do_not_add_tasks(spark, sides, monkeypatch):
+    old, new = sides
+    # a join that Spark expects to be as large as the product of its sides
+    few = sizes.frozen(old.alias("o").join(new.alias("n"), F.expr("o.v < n.v - 150")).select("o.k"))
+    assert sizes.file_bytes(few) == 0
+    assert sizes.file_bytes(old.join(few, "k", "left_semi")) == sizes.file_bytes(old)
+    files = sum(map(sizes.file_bytes, sides))
+    monkeypatch.setattr(sizes, "PART_BYTES", files // 20)
+    side = lambda df: Side(df, [F.col("k")], F.col("p"), [F.col("v")])
+    found = plan(differing_rows(side(old), side(new), ["k"]))
+    assert re.findall(r"hashpartitioning\(k#\d+L, (\d+)\), REPARTITION_BY_NUM", found) == [str(-(-files // (files // 20)))]

@@ -18,6 +18,9 @@ from tidemark.session import shared_dir
 
 # A task of a join or fold by key is to hold the rows of so many bytes of files.
 PART_BYTES = 8 << 20
+# Leaves of a plan that read tables. Frozen rows carry the estimate of the plan that made them,
+# a product of table sizes after a few joins, and count nothing.
+_READS = ("LogicalRelation", "HiveTableRelation", "DataSourceV2Relation", "DataSourceV2ScanRelation")
 
 
 def frozen(rows: DataFrame) -> DataFrame:
@@ -64,7 +67,8 @@ def measured(rows: DataFrame, limit: int | None = None) -> DataFrame:
 def file_bytes(rows: DataFrame) -> int:
     """The sizes of the tables that the rows are read from, as Spark knows them; others count nothing."""
     leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = [leaf for leaf in map(leaves.apply, range(leaves.size())) if leaf.getClass().getSimpleName() in _READS]
+    sizes = [int(str(leaf.stats().sizeInBytes())) for leaf in read]
     return sum(n for n in sizes if n < 1 << 50)
 
 
