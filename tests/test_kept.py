@@ -260,6 +260,27 @@ def test_overlaps_deal_out_earlier_runs_only(spark):
     assert [(None, 0), (None, 1)] == [(r[1], r[2]) for r in rows(plain) if r[1] is None]
 
 
+def test_overlaps_of_one_hour_are_dealt_out(spark):
+    start = datetime(2024, 1, 1)
+    log = [(i, "x", start + timedelta(seconds=i % 90), start + timedelta(seconds=i % 90 + 1 + 47 * i % 5000)) for i in range(120)]
+    log += [(None, "x", start, start + timedelta(seconds=40)), (200, "x", start - timedelta(hours=3), start + timedelta(hours=2))]
+    df = spark.createDataFrame(log, "id long, tabla_destino string, fecha_inicio timestamp_ntz, fecha_fin timestamp_ntz")
+    df = df.withColumn("estado", F.lit("OK"))
+    runs = sorted(log, key=lambda r: (r[2], -1 if r[0] is None else r[0]))
+    expected = [
+        ("x", x[0], y[0], y[2], min(x[3], y[3]))
+        for i, x in enumerate(runs) for y in runs[i + 1 :] if y[2] < x[3]
+    ]
+    for part in (1, 7, 1000):
+        assert rows(runlog.overlaps(df, part=part)) == sorted(expected, key=repr)
+    tasks = lambda found: found.groupBy(F.spark_partition_id()).count().count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert tasks(runlog.overlaps(df)) == 1 and tasks(runlog.overlaps(df, part=7)) > 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_profiles_add_up(spark):
     df = spark.range(20_000).select((F.col("id") % 12).alias("mes"), F.when(F.col("id") % 10 > 0, F.col("id") % 3000).alias("v"))
     months = profiles.profile(df, [F.col("mes")], ["v"])
